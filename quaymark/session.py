@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -63,9 +64,12 @@ def written(df, label: str):
     """Write ``df`` under the shared folder and read it back.
 
     This cuts the lineage with a table that survives the loss of any executor.
-    Columns and types stay as they are.
+    Columns and types stay as they are. The shuffles that led to it are no longer needed;
+    the collection lets Spark's cleaner drop their files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
+    gc.collect()
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
