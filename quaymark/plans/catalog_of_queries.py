@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quaymark.plans import problems
+from quaymark.plans import problems, reference
 
-_MODULES = (problems,)
+_MODULES = (reference, problems)
 
 
 def queries() -> dict:
