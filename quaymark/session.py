@@ -60,6 +60,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/quaymark/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the files of shuffles that nothing refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def written(df, label: str):
     """Write ``df`` under the shared folder and read it back.
 
@@ -70,6 +76,5 @@ def written(df, label: str):
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    gc.collect()
-    spark._jvm.System.gc()
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
