@@ -45,21 +45,24 @@ def arrivals(batch: DataFrame, ident: Column, order: Column, shards: int) -> Dat
     )
 
 
-def encode(first: DataFrame, dictionary: DataFrame | None) -> DataFrame:
-    """``first`` with the exact ``code`` of every identifier: known ones keep theirs, new ones follow on.
+def encode(first: DataFrame, dictionary: DataFrame | None = None, slim: bool = False) -> DataFrame:
+    """``first`` with the exact ``code`` of every identifier and a hash ``h`` of it.
 
-    Without a dictionary the numbers are given over the group's first arrival and a
-    hash instead of the identifier itself, so that only small rows move again.
+    Identifiers in the dictionary keep their code, new ones follow on in their shard.
+    With ``slim`` the identifiers themselves are left behind before codes are given,
+    so that only small rows move again; a group is named by its first arrival then.
     """
+    h = F.xxhash64("ident").alias("h")
+    rest = [] if slim else ["ident"]
     if dictionary is None:
-        slim = first.select("shard", "first", F.xxhash64("ident").alias("h"))
-        return slim.withColumn("code", F.row_number().over(Window.partitionBy("shard").orderBy("h", "first")).cast("bigint") - 1)
-    base = dictionary.groupBy("shard").agg((F.max("code") + 1).alias("base"))
-    joined = first.join(dictionary.select("ident", "code"), "ident", "left")
-    known = joined.filter("code IS NOT NULL").select("shard", "ident", "first", "code")
-    nth = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("ident"), "ident"))
-    new = joined.filter("code IS NULL").drop("code").join(F.broadcast(base), "shard", "left")
-    return known.unionByName(new.select("shard", "ident", "first", (F.coalesce("base", F.lit(0)) + nth - 1).alias("code")))
+        rows = first.select("shard", "first", h, *rest, F.lit(None).cast("bigint").alias("old"), F.lit(0).cast("bigint").alias("base"))
+    else:
+        # one row per shard
+        base = dictionary.groupBy("shard").agg((F.max("code") + 1).alias("base"))
+        rows = first.join(dictionary.select("shard", "ident", F.col("code").alias("old")), ["shard", "ident"], "left").select("shard", "first", h, *rest, "old")
+        rows = rows.join(F.broadcast(base), "shard", "left").withColumn("base", F.coalesce("base", F.lit(0)))
+    nth = F.row_number().over(Window.partitionBy("shard", F.col("old").isNull()).orderBy("h", "first"))
+    return rows.withColumn("code", F.coalesce("old", F.col("base") + nth - 1)).drop("old", "base")
 
 
 def unseen(coded: DataFrame, seen: DataFrame | None) -> DataFrame:
@@ -81,21 +84,34 @@ def united(new: DataFrame, seen: DataFrame | None) -> DataFrame:
     return seen.unionByName(fresh).groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
 
 
-def select_once(batch: DataFrame, ident: Column, order: Column, shards: int = 64, dictionary: DataFrame | None = None, seen: DataFrame | None = None) -> DataFrame:
-    """The arrivals to keep: ``shard``, ``first`` (their arrival number), ``code``, ``bucket``, ``bit``."""
-    return unseen(encode(arrivals(batch, ident, order, shards), dictionary), seen)
-
-
-def duplicates(batch: DataFrame, ident: Column, order: Column, shards: int = 64) -> DataFrame:
+def duplicates(table: DataFrame, ident: Column, order: Column, shards: int = 64, waves: int = 2) -> DataFrame:
     """Arrival numbers of the rows of a whole table that must go: column ``arrival``.
 
-    Rows are told from the selected arrivals by number and a hash of the identifier, so
-    that the identifiers themselves are shuffled once, to be grouped. Shards should
-    grow with the table: a shard's codes are numbered in one task.
+    The table is replayed as ``waves`` consecutive ranges of arrival numbers. Each wave is encoded over
+    the dictionary so far, passes one arrival per bit that is not seen yet, and its
+    dictionary and bits are written for the next; what passed in no wave must go. Rows are
+    told from the arrivals that passed by number and a hash of the identifier, so that rows
+    never travel with their identifiers. Shards should grow with the table: the codes of a
+    shard are given in one task.
     """
-    kept = select_once(batch, ident, order, shards).select(F.col("first").alias("arrival"), "h")
-    rows = batch.select(order.cast("bigint").alias("arrival"), ident.alias("ident")).filter("ident IS NOT NULL")
-    return rows.select("arrival", F.xxhash64("ident").alias("h")).join(kept, ["arrival", "h"], "left_anti").select("arrival")
+    rows = table.select(order.cast("bigint").alias("arrival"), ident.alias("ident")).filter("ident IS NOT NULL")
+    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    passed, dictionary, seen = None, None, None
+    for k in range(waves if low is not None else 1):
+        part = rows
+        if low is not None:
+            a, b = (low + (high + 1 - low) * i // waves for i in (k, k + 1))
+            part = rows.filter((F.col("arrival") >= a) & (F.col("arrival") < b))
+        last = low is None or k == waves - 1
+        coded = unseen(encode(arrivals(part, F.col("ident"), F.col("arrival"), shards), dictionary, slim=last), seen)
+        if not last:
+            coded = written(coded, "wave")
+            words = coded.select("ident", "shard", "code")
+            dictionary = words if dictionary is None else dictionary.unionByName(words)
+            seen = written(united(coded, seen), "seen-bits")
+        kept = coded.select(F.col("first").alias("arrival"), "h")
+        passed = kept if passed is None else passed.unionByName(kept)
+    return rows.select("arrival", F.xxhash64("ident").alias("h")).join(passed, ["arrival", "h"], "left_anti").select("arrival")
 
 
 class SeenStore:
@@ -143,13 +159,13 @@ class SeenStore:
     def apply(self, batch: DataFrame, ident: Column, order: Column) -> DataFrame:
         """The rows of ``batch`` to pass on; their identifiers count as seen from now on."""
         dictionary, seen = self.state()
-        empty = self.spark.createDataFrame([], DICTIONARY)
-        coded = encode(arrivals(batch, ident, order, self.shards), dictionary if dictionary is not None else empty)
+        coded = encode(arrivals(batch, ident, order, self.shards), dictionary)
         chosen = written(unseen(coded, seen), "arrivals")
         v = uuid.uuid4().hex
         fresh_words = chosen.select("ident", "shard", "code")
         if dictionary is not None:
-            fresh_words = dictionary.unionByName(fresh_words.join(dictionary, "ident", "left_anti"))
+            # what passed has an unset bit, so none of it is in the dictionary
+            fresh_words = dictionary.unionByName(fresh_words)
         fresh_words.write.parquet(f"{self.path}/{v}/dictionary")
         united(chosen, seen).write.parquet(f"{self.path}/{v}/bits")
         self._publish(v)
