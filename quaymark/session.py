@@ -75,6 +75,6 @@ def written(df, label: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     release(spark)
     return spark.read.schema(df.schema).parquet(path)
