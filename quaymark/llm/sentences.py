@@ -71,9 +71,10 @@ _BLOCK = regex.compile(r"\n[^\S\n]*\n\s*")
 _BULLET = regex.compile(r"[^\S\n]*[•*‣▪●◦·–-][^\S\n]+\S")
 _NUMBER = regex.compile(r"[^\S\n]*(?:\d{1,3}[.)]|\([0-9a-z]{1,3}\))[^\S\n]+\S")
 _EMOJI = r"[\U0001F300-\U0001FAFF☀-➿️‍]"
-_END = regex.compile(
-    rf"(?:[.!?…]+[{_CLOSERS}]*)+(?:[\s ]+»)?|[؟।॥۔።។၊။]+[{_CLOSERS}]*|[。！？｡．]+(?:…+)?[{_CLOSERS}。！？]*|(?<=[」』])(?=\S)|{_EMOJI}+(?=\s)|(?<=\p{{Thai}}[^\p{{Thai}}\n]{{0,40}})\s+(?=\S)|(?<=\S)\s+(?=\p{{Thai}})"
-)
+_MARKS = rf"(?:[.!?…]+[{_CLOSERS}]*)+(?:[\s ]+»)?|[؟।॥۔።។၊။]+[{_CLOSERS}]*|[。！？｡．]+(?:…+)?[{_CLOSERS}。！？]*|(?<=[」』])(?=\S)|{_EMOJI}+(?=\s)"
+_END = regex.compile(_MARKS)
+#: In texts with Thai every gap near it is a candidate too.
+_END_THAI = regex.compile(_MARKS + r"|(?<=\p{Thai}[^\p{Thai}\n]{0,40})\s+(?=\S)|(?<=\S)\s+(?=\p{Thai})")
 #: A sentence that follows without a space; addresses and file names have a slash, a sign or no capital there.
 _GLUED_BEFORE, _GLUED_AFTER = regex.compile(r"(?<![/@\\\p{L}\p{N}])\p{Ll}[\p{Ll}\p{M}’'-]+$"), regex.compile(r"\p{Lu}[\p{Ll}\p{M}]+[.,]?(?:\s|$)|\p{Lu}\s|\p{Lu}{2,}\s")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
@@ -174,7 +175,7 @@ def _full_stop(before: str, closers: bool, following: str, nxt: str) -> bool:
 def split_text(text: str) -> list[tuple[int, int]]:
     """Spans of the sentences in a stretch of running text."""
     spans, start, n = [], 0, len(text)
-    for m in _END.finditer(text):
+    for m in (_END_THAI if _THAI.search(text) else _END).finditer(text):
         at, end = m.span()
         if end <= start or end >= n:
             continue
@@ -257,8 +258,8 @@ def _units(text: str) -> Iterator[tuple[int, int]]:
 
 def sentence_spans(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of every sentence, trimmed; none for null and blank texts."""
-    out = []
-    for a, b in _units(text or ""):
+    out, text = [], text or ""
+    for a, b in _units(text):
         piece = text[a:b]
         a += len(piece) - len(piece.lstrip())
         b = a + len(piece.strip())
