@@ -14,6 +14,7 @@ batches leave the state as it is.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -128,37 +129,45 @@ class SeenStore:
         self._paths = jvm.org.apache.hadoop.fs.Path
         self._fs = self._paths(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def version(self) -> str | None:
-        """Name of the version in force, or None before the first batch."""
+    def current(self) -> dict:
+        """The version in force, the batch that made it and the version before; empty before the first batch."""
         at = self._paths(f"{self.path}/CURRENT")
         if not self._fs.exists(at):
-            return None
+            return {}
         stream = self._fs.open(at)
         try:
-            return bytes(stream.readAllBytes()).decode()
+            return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
-    def state(self) -> tuple[DataFrame | None, DataFrame | None]:
-        v = self.version()
+    def state(self, version: str | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+        """Dictionary and bits of a version, by default the one in force."""
+        v = version or self.current().get("version")
         if v is None:
             return None, None
         read = self.spark.read
         return read.schema(DICTIONARY).parquet(f"{self.path}/{v}/dictionary"), read.schema(BITS).parquet(f"{self.path}/{v}/bits")
 
-    def _publish(self, v: str) -> None:
-        fresh = self._paths(f"{self.path}/CURRENT.{v}")
+    def _publish(self, entry: dict) -> None:
+        fresh = self._paths(f"{self.path}/CURRENT.{entry['version']}")
         out = self._fs.create(fresh, True)
-        out.write(bytearray(v.encode()))
+        out.write(bytearray(json.dumps(entry).encode()))
         out.close()
         jvm = self.spark._jvm
         options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
         options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), self.spark._jsc.hadoopConfiguration()).rename(fresh, self._paths(f"{self.path}/CURRENT"), options)
 
-    def apply(self, batch: DataFrame, ident: Column, order: Column) -> DataFrame:
-        """The rows of ``batch`` to pass on; their identifiers count as seen from now on."""
-        dictionary, seen = self.state()
+    def apply(self, batch: DataFrame, ident: Column, order: Column, batch_id: int | None = None) -> DataFrame:
+        """The rows of ``batch`` to pass on; their identifiers count as seen from now on.
+
+        A batch that is given again right away under the same ``batch_id`` (a stream
+        that broke off between this step and its own) starts from the version before and
+        passes the same rows again.
+        """
+        now = self.current()
+        base = now.get("parent") if now and batch_id is not None and now.get("batch") == batch_id else now.get("version")
+        dictionary, seen = self.state(base) if base else (None, None)
         coded = encode(arrivals(batch, ident, order, self.shards), dictionary)
         chosen = written(unseen(coded, seen), "arrivals")
         v = uuid.uuid4().hex
@@ -168,7 +177,7 @@ class SeenStore:
             fresh_words = dictionary.unionByName(fresh_words)
         fresh_words.write.parquet(f"{self.path}/{v}/dictionary")
         united(chosen, seen).write.parquet(f"{self.path}/{v}/bits")
-        self._publish(v)
+        self._publish({"version": v, "batch": batch_id, "parent": base})
         keep = chosen.select(F.col("first").alias("__arrival"), F.col("ident").alias("__ident"))
         rows = batch.withColumns({"__arrival": order.cast("bigint"), "__ident": ident})
         with_id = rows.filter("__ident IS NOT NULL").join(keep, ["__arrival", "__ident"], "left_semi")

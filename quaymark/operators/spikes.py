@@ -28,6 +28,8 @@ LEVEL = 11
 LONGEST_SPIKE = 3
 #: Times the universal threshold sqrt(2 ln n); market data has heavier tails than the normal noise that was derived for.
 FACTOR = 3.0
+#: Normal move, on a log scale, of a series that moves too rarely to show one.
+LEAST_SCALE = 1e-3
 #: Shortest run of equal values that can be a stuck reading, and by how much it must exceed the longest run expected of the source.
 SHORTEST_RUN, RUN_MARGIN = 5, 1.5
 #: Days of a block of daily readings, and of its margins.
@@ -66,9 +68,9 @@ def phase_space_spikes(x: np.ndarray, factor: float = FACTOR, rounds: int = 10)
         kept = ~suspects
         moves = np.diff(clean)
         moves = moves[moves != 0]
-        # a source that often repeats its value shows its normal moves only when it moves
-        floor = max(1e-9, 1e-7 * float(np.abs(level).max()))
-        su = max(_scale(u[kept]), _scale(moves) / math.sqrt(2), floor)
+        # a source that often repeats its value shows its normal moves only when it moves; one that hardly moves shows none
+        usual = _scale(moves) / math.sqrt(2) if len(moves) >= n / 5 else LEAST_SCALE
+        su = max(_scale(u[kept]), usual, 1e-9)
         d1 = np.concatenate([[0.0], np.diff(u)])
         d2 = np.concatenate([[0.0], np.diff(d1)])
         s1, s2 = max(_scale(d1[kept]), su), max(_scale(d2[kept]), su)

@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, name: str
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Operators that run Python on the executors need it there; the driver's own import
+    path says nothing about theirs.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_quaymark_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="quaymark-")) / "quaymark_package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    context.addPyFile(str(archive))
+    context._quaymark_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
