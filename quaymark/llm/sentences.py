@@ -76,10 +76,10 @@ _END = regex.compile(_MARKS)
 #: In texts with Thai every gap near it is a candidate too.
 _END_THAI = regex.compile(_MARKS + r"|(?<=\p{Thai}[^\p{Thai}\n]{0,40})\s+(?=\S)|(?<=\S)\s+(?=\p{Thai})")
 #: A sentence that follows without a space; addresses and file names have a slash, a sign or no capital there.
-_GLUED_BEFORE, _GLUED_AFTER = regex.compile(r"(?<![/@\\\p{L}\p{N}])\p{Ll}[\p{Ll}\p{M}’'-]+$"), regex.compile(r"\p{Lu}[\p{Ll}\p{M}]+[.,]?(?:\s|$)|\p{Lu}\s|\p{Lu}{2,}\s")
+_GLUED_BEFORE, _GLUED_AFTER = regex.compile(r"(?<![/@\\._\p{L}\p{N}])\p{L}[\p{L}\p{M}’'-]*\p{Ll}[\p{M}]*$"), regex.compile(r"\p{Lu}[\p{Ll}\p{M}]+[.,]?(?:\s|$)|\p{Lu}\s|\p{Lu}{2,}\s")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _THAI = regex.compile(r"\p{Thai}")
-_WORD_BEFORE = regex.compile(r"(?:\p{L}\p{M}*\.)*[\p{L}\p{M}\p{N}&’'-]+$")
+_WORD_BEFORE = regex.compile(r"(?:\p{L}\p{M}*\.)*[\p{L}\p{M}\p{N}&/’'-]+$")
 _NEXT = regex.compile(r"[\p{L}\p{M}\p{N}&.’'-]+")
 
 
@@ -212,7 +212,8 @@ def split_text(text: str) -> list[tuple[int, int]]:
         elif gap == 0:
             # no space: only between characters of spaceless scripts
             beside = _CJK.match(text[at - 1 : at] or "") and (_CJK.match(following) or following[:1] in "「『（“" or (kind == "…" and following[:1].isalpha()))
-            glued = _GLUED_BEFORE.search(text[max(start, at - 40) : at]) and _GLUED_AFTER.match(following)
+            word = _GLUED_BEFORE.search(text[max(start, at - 40) : at])
+            glued = word and word.group().lower() not in LEADING and _GLUED_AFTER.match(following)
             ends = bool(beside) and (kind in "!?" or "…" in mark) and not following.startswith(RUN_ON) or bool(glued)
         elif "!" in mark or "?" in mark:
             ends = not (closers and body[:1].islower())

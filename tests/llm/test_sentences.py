@@ -44,6 +44,12 @@ def test_layout():
     assert cut("due within 65 days.Ulmcowick Ltd. chairman left. See ir.ulm.example/docs.html for more.") == ["due within 65 days.", "Ulmcowick Ltd. chairman left.", "See ir.ulm.example/docs.html for more."]
 
 
+def test_no_space_after_the_stop():
+    assert cut("neue Zahlen bzw. Belege.Laut Nr. 2 des Berichts.") == ["neue Zahlen bzw. Belege.", "Laut Nr. 2 des Berichts."]
+    assert cut('"We wait," said Mr. Ulm.Separately, he left.') == ['"We wait," said Mr. Ulm.', "Separately, he left."]
+    assert cut("It lost bars for MZOGG/W. Others did not. See Mr.Ulm in prices_v2.6.parquet.") == ["It lost bars for MZOGG/W.", "Others did not.", "See Mr.Ulm in prices_v2.6.parquet."]
+
+
 def test_nothing_and_very_long():
     assert cut("") == cut(" \n\t ") == [] and sentence_spans(None) == []
     long = "A b c. " * 20_000
