@@ -100,7 +100,7 @@ def minute_grid(bars: DataFrame) -> DataFrame:
     of its last stamp, its Volume the sum over its stamps. ``filled`` marks minutes
     without usable reading, ``volume_filled`` those whose Volume was imputed. Rows
     without symbol or Date, and days without usable reading, give nothing. A day whose
-    volumes are all missing has NaN volumes. Columns: ``symbol``, ``minute`` (text,
+    volumes are all missing has null volumes. Columns: ``symbol``, ``minute`` (text,
     yyyy-MM-dd HH:mm), ``Close``, ``Volume``, ``filled``, ``volume_filled``.
     """
     usable = bars.filter("symbol IS NOT NULL AND Date IS NOT NULL AND Close IS NOT NULL AND NOT isnan(Close)")
