@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quaymark.functions import expr
-from quaymark.schemas import CALENDAR_CSV, LISTING_CSV, TOPICS
+from quaymark.schemas import CALENDAR_CSV, COMMODITIES, INDICATORS, LISTING_CSV, TOPICS
 
 #: Field names of the vendor's bars.
 BAR_FIELDS = {"Open": "1. open", "High": "2. high", "Low": "3. low", "Close": "4. close", "Volume": "5. volume"}
@@ -169,8 +169,7 @@ def news(pages: DataFrame) -> DataFrame:
     article = "struct<time_published:string,authors:array<string>,overall_sentiment_score:string," + ",".join(f"{t}:string" for t in texts) + f",topics:array<struct<topic:string,relevance_score:string>>,ticker_sentiment:array<{ticker}>>"
     a = pages.select(F.inline(F.from_json(F.get_json_object("body", "$.feed"), f"array<{article}>")))
     a = a.withColumn("time_published", expr.news_stamp("time_published")).filter("time_published IS NOT NULL")
-    topic = lambda t: F.transform(F.col("topics"), lambda e: F.struct(F.replace(F.lower(e["topic"]), F.lit(" "), F.lit("_")).alias("topic"), e["relevance_score"].alias("score")))
-    wide = [expr.number(expr.first_keyed(topic(t), "topic", "score", t)).cast("float").alias(t) for t in TOPICS]
+    wide = [expr.number(expr.first_keyed(F.col("topics"), "topic", "relevance_score", t)).cast("float").alias(t) for t in TOPICS]
     one = a.select("*", F.inline("ticker_sentiment"))
     num = lambda c: expr.number(c).cast("float").alias(c)
     return one.select(
@@ -205,3 +204,41 @@ def currency_pairs(codes: DataFrame) -> DataFrame:
 def index_catalog(bodies: DataFrame) -> DataFrame:
     """Symbols and names of an object keyed by symbol."""
     return bodies.select(F.explode(F.from_json("body", "map<string,string>")).alias("symbol", "name"))
+
+
+def estimates(bodies: DataFrame) -> DataFrame:
+    """Estimates by ``period`` from their horizon, numbers as a map; other horizons are left out."""
+    m = F.explode(F.from_json(F.get_json_object("body", "$.estimates"), "array<map<string,string>>"))
+    rows = bodies.select("symbol", m.alias("m"))
+    horizon = F.element_at("m", "horizon")
+    numbers = F.transform_values(F.map_filter("m", lambda k, v: ~k.isin("date", "horizon")), lambda k, v: expr.number(v).cast("float"))
+    period = F.when(horizon == "fiscal year", "annual").when(horizon == "fiscal quarter", "quarterly")
+    return rows.select("symbol", period.alias("period"), expr.lax_date(F.element_at("m", "date")).alias("fiscalDateEnding"), F.map_filter(numbers, lambda k, v: v.isNotNull()).alias("values")).filter("period IS NOT NULL")
+
+
+def insider_trades(bodies: DataFrame) -> DataFrame:
+    """Insider transactions: date, the text columns, every other value as a number in a map."""
+    texts = ("executive", "executive_title", "security_type", "acquisition_or_disposal")
+    rows = bodies.select("symbol", F.explode(F.from_json(F.get_json_object("body", "$.data"), "array<map<string,string>>")).alias("m"))
+    numbers = F.transform_values(F.map_filter("m", lambda k, v: ~k.isin("ticker", "transaction_date", *texts)), lambda k, v: expr.number(v).cast("float"))
+    return rows.select(
+        "symbol", expr.lax_date(F.element_at("m", "transaction_date")).alias("transactionDate"), *[expr.without_sentinels(F.element_at("m", t)).alias(t) for t in texts],
+        F.map_filter(numbers, lambda k, v: v.isNotNull()).alias("values"),
+    )
+
+
+def static_catalog(spark: SparkSession, kind: str) -> DataFrame:
+    """The fixed catalogs of commodities and economic indicators, all Active."""
+    entries = [(symbol, name, "Active") for symbol, name, *_ in {"commodities": COMMODITIES, "economic": INDICATORS}[kind]]
+    return spark.createDataFrame(entries, "symbol string, name string, status string")
+
+
+def with_commodity_class(df: DataFrame) -> DataFrame:
+    """``df`` with the class of its commodity symbols, ``structure_error`` for unknown ones; 13 fixed rows are broadcast."""
+    dim = df.sparkSession.createDataFrame([(symbol, kind) for symbol, _, kind in COMMODITIES], "symbol string, class string")
+    return df.join(F.broadcast(dim), "symbol", "left").fillna("structure_error", ["class"])
+
+
+def indicator_config(spark: SparkSession) -> DataFrame:
+    """Vendor function and parameters per indicator: 15 fixed rows."""
+    return spark.createDataFrame([(s, f, i, m) for s, _, f, i, m in INDICATORS], "symbol string, function string, interval string, maturity string")

@@ -42,7 +42,7 @@ def test_reports_with_any_columns(spark):
 
 
 def test_news_explodes_tickers_and_pivots_topics(spark):
-    article = {"time_published": "20240105T093000", "title": "t", "url": "u", "authors": [], "topics": [{"topic": "Technology", "relevance_score": "0.5"}, {"topic": "Technology", "relevance_score": "0.75"}, {"topic": "Else", "relevance_score": "1"}], "ticker_sentiment": [{"ticker": "A", "relevance_score": "0.25"}, {"ticker": "B", "relevance_score": "x"}]}
+    article = {"time_published": "20240105T093000", "title": "t", "url": "u", "authors": [], "topics": [{"topic": "technology", "relevance_score": "0.5"}, {"topic": "technology", "relevance_score": "0.75"}, {"topic": "Else", "relevance_score": "1"}], "ticker_sentiment": [{"ticker": "A", "relevance_score": "0.25"}, {"ticker": "B", "relevance_score": "x"}]}
     late = article | {"time_published": "yesterday"}
     none = article | {"ticker_sentiment": []}
     got = {r.ticker: r for r in readers.news(bodies(spark, (None, {"feed": [article, late, none]}))).collect()}
@@ -104,3 +104,17 @@ def test_recovered_months(spark):
     issues = spark.createDataFrame([("A", "structure_error"), ("B", "structure_error"), ("A", "cast_failure")], "symbol string, issue_type string")
     got = readers.drop_recovered(issues, spark.createDataFrame([("A",)], "symbol string"))
     assert sorted(map(tuple, got.collect())) == [("A", "cast_failure"), ("B", "structure_error")]
+
+
+def test_estimates_and_insider(spark):
+    df = bodies(spark, ("A", {"estimates": [{"date": "2024-12-31", "horizon": "fiscal year", "eps": "1.5"}, {"date": "2024-03-31", "horizon": "fiscal quarter", "eps": "None"}, {"date": "2024-03-31", "horizon": "next"}]}))
+    assert sorted((r.period, r.fiscalDateEnding.month, r["values"]) for r in readers.estimates(df).collect()) == [("annual", 12, {"eps": 1.5}), ("quarterly", 3, {})]
+    df = bodies(spark, ("A", {"data": [{"ticker": "A", "transaction_date": "2024-01-05-04:00", "executive": "X", "executive_title": "", "shares": "5", "price": "?"}]}))
+    r = readers.insider_trades(df).first()
+    assert r.transactionDate == dt.date(2024, 1, 5) and r.executive == "X" and r.executive_title is None and r["values"] == {"shares": 5.0}
+
+
+def test_fixed_catalogs(spark):
+    assert readers.static_catalog(spark, "commodities").count() == 13 and readers.static_catalog(spark, "economic").count() == readers.indicator_config(spark).count() == 15
+    got = readers.with_commodity_class(spark.createDataFrame([("WTI",), ("XAU",), ("CORN",), ("?",)], "symbol string"))
+    assert {r.symbol: r["class"] for r in got.collect()} == {"WTI": "daily", "XAU": "gold_silver", "CORN": "monthly", "?": "structure_error"}
