@@ -117,14 +117,15 @@ def vocabulary_path(name: str, folder: str | None = None) -> str:
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows spread over enough tasks for work that is heavy per row, by a hash of ``key``.
+    """Rows spread over enough tasks for work that is heavy per row, by a hash of ``key`` and ``text``.
 
     A few files of well-compressed text would otherwise leave most cores idle. The
-    key's hash makes the split the same in every attempt, so lost tasks can be redone.
+    hash makes the split the same in every attempt, so lost tasks can be redone, and the
+    text in it keeps rows without key apart.
     """
     spark = rows.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return rows.repartition(parts, key)
+    return rows.repartition(parts, F.xxhash64(key, "text"))
 
 
 def _encode(path: str):

@@ -13,7 +13,7 @@ target without documents (or without tokens) is left out, the other shares being
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -75,8 +75,9 @@ def shares(mix: DataFrame, rate: DataFrame) -> DataFrame:
     """What came of the mixture, per source: target and actual share, documents, tokens and repetitions."""
     used = mix.groupBy("source").agg(F.count("*").alias("docs_used"), F.sum("copies").alias("copies"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens_out"), F.max("copies").alias("most_repeats"))
     named = rate.join(used, "source", "left").fillna(0, ["docs_used", "copies", "tokens_out", "most_repeats"])
-    everything = named.agg(F.sum("tokens_out").alias("sum_out"))
-    return named.join(F.broadcast(everything.withColumn("one", F.lit(1))), F.lit(1) == F.col("one")).select(
+    # one row per source named in the targets, so one task may see them all
+    sum_out = F.sum("tokens_out").over(Window.partitionBy(F.lit(1)))
+    return named.withColumn("sum_out", sum_out).select(
         "source", "target_share", "max_repeats", "docs", F.col("tokens").alias("tokens_in"), "rate", "docs_used", "copies", "most_repeats", "tokens_out",
         F.try_divide(F.col("tokens_out").cast("double"), F.col("sum_out").cast("double")).alias("actual_share"),
     )
