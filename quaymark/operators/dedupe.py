@@ -118,19 +118,20 @@ def duplicates(table: DataFrame, ident: Column, order: Column, shards: int = 64,
 class SeenStore:
     """Dictionary and seen-bitmaps of all batches so far, in a folder all executors share.
 
-    A batch is applied as a whole: dictionary and bits of the next version are written
-    beside the current one, then a small pointer file is renamed into place. A run that
-    breaks off leaves the current version in force, and its batch may be given again.
+    A batch adds its new words and bits beside what is there, then a small pointer file that
+    names all parts is renamed into place: what a batch writes grows with the batch, not with the store. A run that
+    breaks off leaves the current state in force, and its batch may be given again.
+    After ``merge_after`` batches the bits are united into one part.
     """
 
-    def __init__(self, spark: SparkSession, path: str, shards: int = 64):
-        self.spark, self.path, self.shards = spark, path.rstrip("/"), shards
+    def __init__(self, spark: SparkSession, path: str, shards: int = 64, merge_after: int = 16):
+        self.spark, self.path, self.shards, self.merge_after = spark, path.rstrip("/"), shards, merge_after
         jvm = spark._jvm
         self._paths = jvm.org.apache.hadoop.fs.Path
         self._fs = self._paths(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def current(self) -> dict:
-        """The version in force, the batch that made it and the version before; empty before the first batch."""
+        """What is in force: ``words`` and ``bits`` (folders), the ``batch`` that made it, ``before`` it; empty at first."""
         at = self._paths(f"{self.path}/CURRENT")
         if not self._fs.exists(at):
             return {}
@@ -140,16 +141,19 @@ class SeenStore:
         finally:
             stream.close()
 
-    def state(self, version: str | None = None) -> tuple[DataFrame | None, DataFrame | None]:
-        """Dictionary and bits of a version, by default the one in force."""
-        v = version or self.current().get("version")
-        if v is None:
+    def state(self, entry: dict | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+        """Dictionary and bits, by default those in force."""
+        entry = self.current() if entry is None else entry
+        if not entry:
             return None, None
-        read = self.spark.read
-        return read.schema(DICTIONARY).parquet(f"{self.path}/{v}/dictionary"), read.schema(BITS).parquet(f"{self.path}/{v}/bits")
+        read = lambda schema, parts: self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for p in parts])
+        bits = read(BITS, entry["bits"])
+        if len(entry["bits"]) > 1:
+            bits = bits.groupBy("shard", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return read(DICTIONARY, entry["words"]), bits
 
     def _publish(self, entry: dict) -> None:
-        fresh = self._paths(f"{self.path}/CURRENT.{entry['version']}")
+        fresh = self._paths(f"{self.path}/CURRENT.{uuid.uuid4().hex}")
         out = self._fs.create(fresh, True)
         out.write(bytearray(json.dumps(entry).encode()))
         out.close()
@@ -162,22 +166,21 @@ class SeenStore:
         """The rows of ``batch`` to pass on; their identifiers count as seen from now on.
 
         A batch that is given again right away under the same ``batch_id`` (a stream
-        that broke off between this step and its own) starts from the version before and
+        that broke off between this step and its own) starts from the state before it and
         passes the same rows again.
         """
         now = self.current()
-        base = now.get("parent") if now and batch_id is not None and now.get("batch") == batch_id else now.get("version")
-        dictionary, seen = self.state(base) if base else (None, None)
-        coded = encode(arrivals(batch, ident, order, self.shards), dictionary)
-        chosen = written(unseen(coded, seen), "arrivals")
+        again = bool(now) and batch_id is not None and now["batch"] == batch_id
+        base = now["before"] if again else now
+        dictionary, seen = self.state(base)
+        chosen = written(unseen(encode(arrivals(batch, ident, order, self.shards), dictionary), seen), "arrivals")
         v = uuid.uuid4().hex
-        fresh_words = chosen.select("ident", "shard", "code")
-        if dictionary is not None:
-            # what passed has an unset bit, so none of it is in the dictionary
-            fresh_words = dictionary.unionByName(fresh_words)
-        fresh_words.write.parquet(f"{self.path}/{v}/dictionary")
-        united(chosen, seen).write.parquet(f"{self.path}/{v}/bits")
-        self._publish({"version": v, "batch": batch_id, "parent": base})
+        chosen.select("ident", "shard", "code").write.option("compression", "zstd").parquet(f"{self.path}/{v}/words")
+        parts = base.get("bits", [])
+        merge = len(parts) >= self.merge_after
+        united(chosen, seen if merge else None).write.option("compression", "zstd").parquet(f"{self.path}/{v}/bits")
+        entry = {"words": [*base.get("words", []), f"{v}/words"], "bits": [f"{v}/bits"] if merge else [*parts, f"{v}/bits"], "batch": batch_id}
+        self._publish(entry | {"before": {k: x for k, x in base.items() if k != "before"}})
         keep = chosen.select(F.col("first").alias("__arrival"), F.col("ident").alias("__ident"))
         rows = batch.withColumns({"__arrival": order.cast("bigint"), "__ident": ident})
         with_id = rows.filter("__ident IS NOT NULL").join(keep, ["__arrival", "__ident"], "left_semi")

@@ -16,10 +16,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quaymark.functions.text import canonical, canonical_symbol, fingerprint, spelled
+from quaymark.sources.sinks import VersionedTable
 
 OPEN_END = "9999-12-31"
 
@@ -162,3 +163,35 @@ def history(df: DataFrame, attributes: Sequence[str], snapshot: str = "snapshot_
     known = calendar(on_time)
     chains = apply_updates(build_chains(on_time, known), everything, marked.filter(late).select("sym", "snap"), known)
     return chains.select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in attributes], "valid_from", "valid_to")
+
+
+class HistoryStore:
+    """History of a listing, kept on deliveries of any snapshot in any order.
+
+    A delivery is kept as it came, under its own number; then the chains of the entities it
+    touches are rebuilt from all their deliveries, and the new state of the table replaces the old one at once. A
+    delivery given again under its number changes nothing. Readers keep the version they opened.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, attributes: Sequence[str]):
+        self.spark, self.path, self.attributes = spark, path.rstrip("/"), list(attributes)
+        self.chains = VersionedTable(spark, f"{self.path}/chains")
+
+    def deliver(self, df: DataFrame, number: int) -> None:
+        """Take in rows with ``symbol``, ``snapshot_date``, ``loaded_at`` and the attributes."""
+        columns = ["symbol", "snapshot_date", "loaded_at", *self.attributes]
+        df.select(*[f"`{c}`" for c in columns]).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/deliveries/number={number}")
+        raw = self.spark.read.parquet(f"{self.path}/deliveries").drop("number")
+        rows = latest_rows(raw, self.attributes, keep_values=True)
+        old = self.chains.read()
+        if old is None:
+            self.chains.replace(build_chains(rows, calendar(rows)))
+            return
+        others = self.spark.read.parquet(f"{self.path}/deliveries").filter(F.col("number") != number)
+        known = calendar(others.select(F.col("snapshot_date").alias("snap"), canonical_symbol("symbol").alias("sym")).filter("snap IS NOT NULL AND sym IS NOT NULL"))
+        updates = df.select(canonical_symbol(F.col("symbol")).alias("sym"), F.col("snapshot_date").alias("snap")).filter("sym IS NOT NULL AND snap IS NOT NULL")
+        self.chains.replace(apply_updates(old, rows, updates, known))
+
+    def read(self) -> DataFrame:
+        """``symbol``, the attributes, ``valid_from``, ``valid_to``."""
+        return self.chains.read().select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in self.attributes], "valid_from", "valid_to")

@@ -44,9 +44,9 @@ def test_identifier_keeps_columns_apart(spark):
 
 
 def test_store_over_batches(spark, tmp_path):
-    store = dedupe.SeenStore(spark, f"file://{tmp_path}/seen", shards=3)
+    store = dedupe.SeenStore(spark, f"file://{tmp_path}/seen", shards=3, merge_after=2)
     seen = {}
-    for seed in (1, 2, 3):
+    for seed in (1, 2, 3, 4):
         rows = [(r[0] + 1000 * seed, *r[1:]) for r in some(seed, 120)]
         kept = store.apply(spark.createDataFrame(rows, SCHEMA), IDENT(), F.col("msg_id")).collect()
         want = brute(rows, seen)

@@ -99,3 +99,18 @@ def test_untouched_chains_pass_through(spark):
     chains = snapshots.build_chains(rows, days).withColumn("valid_to", F.lit(dt.date(2000, 1, 1)))
     got = {r.sym: r.valid_to for r in snapshots.rebuild_affected(chains, rows, rows.filter("sym = 'B'").select("sym"), days).collect()}
     assert got == {"A": dt.date(2000, 1, 1), "B": D[1]}
+
+
+def test_store_takes_deliveries_in_any_order(spark, tmp_path):
+    rng = random.Random(11)
+    attributes = ("name", "sector", "delistingDate", "status")
+    rows = [row(day, s, name=rng.choice("xy")) for s in "ABCDE" for day in range(4) if rng.random() < 0.7]
+    corrected = [row(day, "A", name="z", at=dt.datetime(2024, 5, 1)) for day in (1, 2)]
+    store = snapshots.HistoryStore(spark, f"file://{tmp_path}/h", attributes)
+    seen = []
+    for number, part in enumerate(([r for r in rows if r[0] in (D[0], D[2])], [r for r in rows if r[0] == D[3]], [r for r in rows if r[0] == D[1]], corrected)):
+        seen += part
+        store.deliver(spark.createDataFrame(part, SCHEMA), number)
+        assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == brute_history(seen)
+    store.deliver(spark.createDataFrame(corrected, SCHEMA), 3)
+    assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == brute_history(seen)
