@@ -106,4 +106,22 @@ SQL = {
     "p7_found": """
     WITH m AS (SELECT msg_id, nullif(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '/$', ''), '') AS u, upper(trim(ticker)) AS t, time_published AS tp FROM all_messages)
     SELECT msg_id FROM (SELECT msg_id, u, min(msg_id) OVER (PARTITION BY u, t, tp) AS lowest FROM m WHERE u IS NOT NULL) WHERE msg_id > lowest""",
+    "p5_found": r"""
+    WITH r AS (SELECT 'sentiment' AS src, rec_id, time_published AS raw, 'UTC' AS zone FROM sentiment
+               UNION ALL SELECT 'ingestion_report', rec_id, "timestamp", coalesce(host_zone, 'UTC') FROM ingestion_report
+               UNION ALL SELECT 'prices_raw', rec_id, Date, coalesce(time_zone, 'US/Eastern') FROM prices_raw),
+         x AS (SELECT src, rec_id, zone, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS t FROM r),
+         z AS (SELECT *, CASE WHEN regexp_matches(t, '\d:\d\d|\dT\d{4}') THEN regexp_extract(t, '(\[[A-Za-z_]+/[A-Za-z_]+\]| ?[A-Z][A-Za-z]+/[A-Za-z_]+| ?[+-]\d{2}:?\d{2}| ?[+-]\d{2}|[Zz]| [A-Z]{3,4})$') ELSE '' END AS tail FROM x),
+         b AS (SELECT *, upper(trim(tail)) AS mark, regexp_replace(regexp_replace(trim(left(t, length(t) - length(tail))), '(\d),(\d{3,6})$', '\1.\2'), '([ap])m$', CASE WHEN right(trim(left(t, length(t) - length(tail))), 2) = 'am' THEN 'AM' ELSE 'PM' END) AS body FROM z),
+         l AS (SELECT *, try_strptime(body, ['%Y-%m-%dT%H:%M:%S', '%Y-%m-%dT%H:%M:%S.%f', '%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H:%M:%S.%f', '%Y-%m-%d %H:%M', '%Y-%m-%d', '%Y%m%dT%H%M%S', '%Y%m%dT%H%M',
+                 '%d.%m.%Y %H:%M', '%m/%d/%Y %I:%M:%S %p', '%d-%b-%Y %H:%M:%S', '%a, %d %b %Y %H:%M:%S', '%b %d, %Y %I:%M:%S %p']) AS wall,
+               CASE WHEN mark = '' THEN zone WHEN contains(mark, '/') THEN trim(translate(tail, '[]', '')) END AS region,
+               CASE WHEN mark[1] IN ('+', '-') THEN (CASE mark[1] WHEN '-' THEN -1 ELSE 1 END) * (CAST(mark[2:3] AS INTEGER) * 60 + coalesce(TRY_CAST(right(mark, length(mark) - 3 - CAST(contains(mark, ':') AS INTEGER)) AS INTEGER), 0))
+                    ELSE CASE mark WHEN 'Z' THEN 0 WHEN 'UTC' THEN 0 WHEN 'GMT' THEN 0 WHEN 'WET' THEN 0 WHEN 'BST' THEN 60 WHEN 'CET' THEN 60 WHEN 'CEST' THEN 120 WHEN 'JST' THEN 540
+                              WHEN 'EST' THEN -300 WHEN 'EDT' THEN -240 WHEN 'CST' THEN -360 WHEN 'CDT' THEN -300 WHEN 'MST' THEN -420 WHEN 'MDT' THEN -360 WHEN 'PST' THEN -480 WHEN 'PDT' THEN -420 END END AS minutes FROM b),
+         i AS (SELECT *, CASE WHEN region IS NOT NULL AND wall IS NOT NULL THEN timezone(region, wall) END AS late FROM l),
+         e AS (SELECT src, rec_id, CASE WHEN regexp_full_match(t, '\d+') THEN CASE WHEN length(t) <= 11 THEN CAST(t AS BIGINT) * 1000000 WHEN length(t) <= 14 THEN CAST(t AS BIGINT) * 1000 WHEN length(t) <= 17 THEN CAST(t AS BIGINT) END
+                      WHEN region IS NOT NULL THEN epoch_us(CASE WHEN timezone(region, late - INTERVAL 1 HOUR) = wall THEN late - INTERVAL 1 HOUR ELSE late END)
+                      ELSE epoch_us(wall) - CAST(minutes AS BIGINT) * 60000000 END AS epoch_us FROM i)
+    SELECT src, rec_id, epoch_us FROM e WHERE epoch_us IS NOT NULL""",
 }
