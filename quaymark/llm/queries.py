@@ -57,4 +57,14 @@ def p10_found(spark: SparkSession, data: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p8_ids, p9_mix, p9_shares, p10_found)}
-SQL: dict[str, str] = {}
+
+#: Brute force over every pair of articles that share a word: exact, and far too slow for anything but the smaller tables.
+SQL = {
+    "p4_found": r"""
+    WITH m AS (SELECT msg_id, title, summary, nullif(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '/$', ''), '') AS u FROM all_messages),
+         a AS (SELECT msg_id, title || ' ' || summary AS text FROM (SELECT *, row_number() OVER (PARTITION BY u ORDER BY msg_id) AS rn FROM m WHERE u IS NOT NULL) WHERE rn = 1 AND title IS NOT NULL AND summary IS NOT NULL),
+         w AS (SELECT DISTINCT msg_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM a),
+         s AS (SELECT msg_id, count(*) AS n FROM w GROUP BY msg_id),
+         c AS (SELECT x.msg_id AS p, y.msg_id AS q, count(*) AS k FROM w x JOIN w y ON x.word = y.word AND x.msg_id < y.msg_id GROUP BY 1, 2)
+    SELECT p AS msg_id_a, q AS msg_id_b FROM c JOIN s a ON a.msg_id = p JOIN s b ON b.msg_id = q WHERE k >= 0.6 * (a.n + b.n - k)""",
+}
