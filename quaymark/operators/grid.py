@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaymark.session import heavy_partitions
+
 GRID = "symbol string, day date, minute_of_day int, Close double, Volume double, filled boolean, volume_filled boolean"
 
 
@@ -112,7 +114,9 @@ def minute_grid(bars: DataFrame) -> DataFrame:
     volume = F.when(F.col("r.v").isNotNull() & ~F.isnan("r.v"), F.col("r.v"))
     by_minute = standing.groupBy("symbol", F.to_date("at").alias("day"), minute).agg(F.max_by("r.c", "at").alias("c"), F.sum(volume).alias("v"))
     nan = F.lit(float("nan"))
-    series = by_minute.groupBy("symbol", "day").agg(
+    # the imputation is heavy for its bytes, so these partitions must not be merged by size
+    spread = by_minute.repartition(heavy_partitions(bars.sparkSession), "symbol", "day")
+    series = spread.groupBy("symbol", "day").agg(
         F.collect_list("m").alias("minutes"), F.collect_list("c").alias("closes"), F.collect_list(F.coalesce("v", nan)).alias("volumes")
     )
     filled = series.mapInPandas(_fill, GRID)

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quaymark.session import heavy_partitions
+
 #: Rows of the moving median that is the local level; spikes of up to (LEVEL - 1) / 2 rows don't move it.
 LEVEL = 11
 #: A spike is back at its former level within so many rows.
@@ -200,6 +202,7 @@ def implausible_readings(daily: DataFrame, minutes: DataFrame) -> DataFrame:
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("at"))
     series = (
         d_blocks.unionByName(m_blocks)
+        .repartition(heavy_partitions(daily.sparkSession), "tbl", "symbol", "block")
         .groupBy("tbl", "symbol", "block")
         .agg(F.collect_list(micros).alias("at"), F.collect_list("bar_id").alias("ids"), *[F.collect_list(c).alias(c) for c in ("own", "v1", "v2", "v3")])
     )

@@ -56,6 +56,15 @@ def ship(spark: SparkSession) -> None:
     context._quaymark_shipped = True
 
 
+def heavy_partitions(spark: SparkSession) -> int:
+    """Tasks for a step that is heavy per row though small in bytes.
+
+    Adaptive execution would merge its partitions by size into a task or two; a
+    repartitioning by number is left alone.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
