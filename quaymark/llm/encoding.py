@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quaymark.session import heavy_partitions
+
 #: Folder of the vocabulary files; the same path must hold on every executor.
 TOKENIZERS = os.environ.get("QUAYMARK_TOKENIZERS", "/opt/tokenizers")
 #: The published word pattern of the vocabulary.
@@ -123,9 +125,7 @@ def spread(rows: DataFrame, key: str) -> DataFrame:
     hash makes the split the same in every attempt, so lost tasks can be redone, and the
     text in it keeps rows without key apart.
     """
-    spark = rows.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return rows.repartition(parts, F.xxhash64(key, "text"))
+    return rows.repartition(heavy_partitions(rows.sparkSession), F.xxhash64(key, "text"))
 
 
 def _encode(path: str):
