@@ -59,10 +59,8 @@ def impute(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int
         total = power.sum()
         keep = 1 if total == 0 else min(rank, int(np.searchsorted(np.cumsum(power) / total, energy)) + 1)
         basis = vectors[:, ::-1][:, :keep]
-        rebuilt = basis @ (basis.T @ hankel)
-        series = np.zeros(n)
-        for i in range(rows):
-            series[i : i + cols] += rebuilt[i]
+        # the antidiagonal sums of a product of two vectors are their convolution
+        series = sum(np.convolve(u, v) for u, v in zip(basis.T, basis.T @ hankel))
         fresh = (series / weights + mean)[missing]
         moved = np.abs(fresh - out[missing]).max()
         out[missing] = fresh
