@@ -96,7 +96,8 @@ def duplicates(table: DataFrame, ident: Column, order: Column, shards: int = 64,
     shard are given in one task.
     """
     rows = table.select(order.cast("bigint").alias("arrival"), ident.alias("ident")).filter("ident IS NOT NULL")
-    low, high = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    # over all rows, so that this scan reads one column
+    low, high = table.agg(F.min(order.cast("bigint")), F.max(order.cast("bigint"))).first()
     passed, dictionary, seen = None, None, None
     for k in range(waves if low is not None else 1):
         part = rows
