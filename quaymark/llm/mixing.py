@@ -24,11 +24,12 @@ def source_label(c: Column | str) -> Column:
 
 
 def rates(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """``source``, ``target_share``, ``max_repeats``, ``docs``, ``tokens``, ``rate``.
+    """``source``, ``target_share``, ``scaled_share``, ``max_repeats``, ``docs``, ``tokens``, ``rate`` of every target.
 
     ``sizes`` has ``source`` and ``tokens`` per document, ``targets`` the wanted shares.
+    ``scaled_share`` is the share among the targets that have tokens, 0 for the others.
     One row per source: sources are named in ``targets``, which is a small table of
-    configuration, so what is joined back is bounded by it. Targets of null source, a
+    configuration, so what is gathered is bounded by it. Targets of null source, a
     share not above 0 or a cap below 1 are left out; a source named twice counts once, with its larger share.
     """
     wanted = (
@@ -39,15 +40,15 @@ def rates(sizes: DataFrame, targets: DataFrame, total: float | None = None) -> D
         .select("source", "r.share", "r.cap")
     )
     have = sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("tokens").alias("tokens"))
-    both = wanted.join(have, "source").filter("tokens > 0")
-    named = both.select(F.collect_list(F.struct("source", "share", "cap", "docs", "tokens")).alias("all"))
-    sum_of = F.aggregate("all", F.lit(0.0), lambda acc, x: acc + x["share"])
-    most = F.array_min(F.transform("all", lambda x: x["cap"] * x["tokens"] * F.col("whole") / x["share"]))
-    sized = named.withColumn("whole", sum_of).withColumn("total", most if total is None else F.least(most, F.lit(float(total))))
-    return sized.select(F.inline("all"), "whole", "total").select(
-        "source", (F.col("share") / F.col("whole")).alias("target_share"), F.col("cap").cast("int").alias("max_repeats"), "docs", "tokens",
-        F.least("cap", F.col("share") / F.col("whole") * F.col("total") / F.col("tokens")).alias("rate"),
-    )
+    both = wanted.join(have, "source", "left").fillna(0, ["docs", "tokens"])
+    named = both.agg(F.collect_list(F.struct("source", "share", "cap", "docs", "tokens")).alias("all"))
+    usable = F.filter("all", lambda x: x["tokens"] > 0)
+    whole = F.aggregate(usable, F.lit(0.0), lambda acc, x: acc + x["share"])
+    most = F.array_min(F.transform(usable, lambda x: x["cap"] * x["tokens"] * F.col("whole") / x["share"]))
+    sized = named.withColumn("whole", whole).withColumn("total", most if total is None else F.least(most, F.lit(float(total))))
+    scaled = F.when(F.col("tokens") > 0, F.col("share") / F.col("whole")).otherwise(0.0)
+    rate = F.when(F.col("tokens") > 0, F.least("cap", scaled * F.col("total") / F.col("tokens"))).otherwise(0.0)
+    return sized.select(F.inline("all"), "whole", "total").select("source", F.col("share").alias("target_share"), scaled.alias("scaled_share"), F.col("cap").cast("int").alias("max_repeats"), "docs", "tokens", rate.alias("rate"))
 
 
 def uniform(seed: int, c: Column) -> Column:
@@ -72,12 +73,15 @@ def emitted(mix: DataFrame) -> DataFrame:
 
 
 def shares(mix: DataFrame, rate: DataFrame) -> DataFrame:
-    """What came of the mixture, per source: target and actual share, documents, tokens and repetitions."""
+    """What came of the mixture, per target: its share as stated, as scaled and as it is, documents, tokens and repetitions.
+
+    Targets without documents are reported with nothing taken.
+    """
     used = mix.groupBy("source").agg(F.count("*").alias("docs_used"), F.sum("copies").alias("copies"), F.sum(F.col("tokens") * F.col("copies")).alias("tokens_out"), F.max("copies").alias("most_repeats"))
     named = rate.join(used, "source", "left").fillna(0, ["docs_used", "copies", "tokens_out", "most_repeats"])
     # one row per source named in the targets, so one task may see them all
     sum_out = F.sum("tokens_out").over(Window.partitionBy(F.lit(1)))
     return named.withColumn("sum_out", sum_out).select(
-        "source", "target_share", "max_repeats", "docs", F.col("tokens").alias("tokens_in"), "rate", "docs_used", "copies", "most_repeats", "tokens_out",
+        "source", "target_share", "scaled_share", "max_repeats", "docs", F.col("tokens").alias("tokens_in"), "rate", "docs_used", "copies", "most_repeats", "tokens_out",
         F.try_divide(F.col("tokens_out").cast("double"), F.col("sum_out").cast("double")).alias("actual_share"),
     )

@@ -33,9 +33,11 @@ def test_mixture_against_brute_force(spark):
     assert {r.id: r.copies for r in mix.collect()} == brute(sizes, targets, 9)
     caps = {s: c for s, _, c in targets}
     shares = {r.source: r for r in mixing.shares(mix, rate).collect()}
-    assert set(shares) == {"a", "b", "c"}
+    assert set(shares) == {"a", "b", "c", "z", "absent"}
     for s, r in shares.items():
-        assert r.most_repeats <= caps[s] and abs(r.actual_share - r.target_share) < 0.05
+        assert r.most_repeats <= caps[s] and abs(r.actual_share - r.scaled_share) < 0.05
+    for s in ("z", "absent"):
+        assert shares[s].rate == shares[s].tokens_out == shares[s].scaled_share == 0 and shares[s].target_share == 0.05
     assert abs(sum(r.actual_share for r in shares.values()) - 1) < 1e-9
     assert mixing.emitted(mix).count() == sum(brute(sizes, targets, 9).values())
 
@@ -48,9 +50,9 @@ def test_smaller_total_and_repeated_targets(spark):
 
 def test_empty_tables(spark):
     sizes, targets = spark.createDataFrame([(1, "a", 5)], SIZES), spark.createDataFrame([("a", 1.0, 2)], TARGETS)
-    for s, t in ((sizes.limit(0), targets), (sizes, targets.limit(0))):
+    for s, t, reported in ((sizes.limit(0), targets, 1), (sizes, targets.limit(0), 0)):
         rate = mixing.rates(s, t)
-        assert mixing.mixture(s, rate).count() == 0 and mixing.shares(mixing.mixture(s, rate), rate).count() == 0
+        assert mixing.mixture(s, rate).count() == 0 and mixing.shares(mixing.mixture(s, rate), rate).count() == reported
 
 
 def test_labels(spark):
