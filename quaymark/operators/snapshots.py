@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quaymark.functions.text import canonical, canonical_symbol, fingerprint, spelled
+from quaymark.session import written
 from quaymark.sources.sinks import VersionedTable
 
 OPEN_END = "9999-12-31"
@@ -30,6 +31,16 @@ def _value(df: DataFrame, name: str) -> Column:
     return canonical(F.col(f"`{name}`")) if dict(df.dtypes)[name] == "string" else F.col(f"`{name}`")
 
 
+def _ranked(df: DataFrame, attributes: Sequence[str], loaded: str, keep_values: bool) -> Column:
+    """Struct whose maximum is the standing row: load time, hash of the canonical attributes, and the trimmed values if kept."""
+    kinds = dict(df.dtypes)
+    parts = [F.col(f"`{loaded}`").alias("at"), fingerprint(*[_value(df, a) for a in attributes]).alias("h")]
+    if keep_values:
+        vals = [(spelled(F.col(f"`{a}`")) if kinds[a] == "string" else F.col(f"`{a}`")).alias(a) for a in attributes]
+        parts.append(F.struct(*vals).alias("vals"))
+    return F.struct(*parts)
+
+
 def latest_rows(
     df: DataFrame, attributes: Sequence[str], key: str = "symbol", snapshot: str = "snapshot_date", loaded: str = "loaded_at", keep_values: bool = False
 ) -> DataFrame:
@@ -39,13 +50,7 @@ def latest_rows(
     attributes come along as the struct ``vals``, texts trimmed. One aggregation
     with map-side combine, so repeated rows collapse before they are shuffled.
     """
-    h = fingerprint(*[_value(df, a) for a in attributes])
-    parts = [F.col(f"`{loaded}`").alias("at"), h.alias("h")]
-    if keep_values:
-        kinds = dict(df.dtypes)
-        vals = [(spelled(F.col(f"`{a}`")) if kinds[a] == "string" else F.col(f"`{a}`")).alias(a) for a in attributes]
-        parts.append(F.struct(*vals).alias("vals"))
-    rows = df.select(F.col(f"`{snapshot}`").alias("snap"), canonical_symbol(F.col(f"`{key}`")).alias("sym"), F.struct(*parts).alias("row"))
+    rows = df.select(F.col(f"`{snapshot}`").alias("snap"), canonical_symbol(F.col(f"`{key}`")).alias("sym"), _ranked(df, attributes, loaded, keep_values).alias("row"))
     best = rows.filter("snap IS NOT NULL AND sym IS NOT NULL").groupBy("snap", "sym").agg(F.max("row").alias("row"))
     return best.select("snap", "sym", "row.h", *(["row.vals"] if keep_values else []))
 
@@ -158,10 +163,16 @@ def history(df: DataFrame, attributes: Sequence[str], snapshot: str = "snapshot_
     days = calendar(keyed)
     marked = keyed.join(F.broadcast(days.select("snap", "next_snap")), "snap")
     late = F.coalesce(F.col("arrived") >= F.col("next_snap"), F.lit(False))
-    on_time = latest_rows(marked.filter(~late), attributes, "sym", "snap", "at", keep_values=True)
-    everything = latest_rows(marked, attributes, "sym", "snap", "at", keep_values=True)
+    row = _ranked(marked, attributes, "at", True)
+    # both standings of a key in one aggregation, written once as four plans read them
+    standing = written(
+        marked.select("snap", "sym", late.alias("late"), row.alias("row")).groupBy("snap", "sym").agg(F.max("row").alias("all"), F.max(F.when(~F.col("late"), F.col("row"))).alias("prompt"), F.max("late").alias("late")),
+        "standing",
+    )
+    on_time = standing.filter("prompt IS NOT NULL").select("snap", "sym", "prompt.h", "prompt.vals")
+    everything = standing.select("snap", "sym", "all.h", "all.vals")
     known = calendar(on_time)
-    chains = apply_updates(build_chains(on_time, known), everything, marked.filter(late).select("sym", "snap"), known)
+    chains = apply_updates(build_chains(on_time, known), everything, standing.filter("late").select("sym", "snap"), known)
     return chains.select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in attributes], "valid_from", "valid_to")
 
 
