@@ -146,7 +146,7 @@ def status_disagreement(spark, data):
     return catalog.disagreements(old, new, "symbol", "status")
 
 
-@query(f"""WITH {_SNAPS}, x AS (SELECT DISTINCT s_suppkey AS symbol FROM supplier WHERE s_nationkey % 2 = 0),
+@query(f"""WITH {_SNAPS}, x AS (SELECT DISTINCT s_suppkey AS symbol FROM supplier WHERE s_acctbal > 4000),
     j AS (SELECT coalesce(o.symbol, f.symbol) AS symbol, o.ipo AS oi, o.delisting AS od, o.status AS os, f.ipo AS fi, f.delisting AS fd, f.status AS fs, o.symbol IS NULL AS added, f.symbol IS NULL AS gone,
                  coalesce(o.symbol, f.symbol) IN (SELECT symbol FROM x) AS el FROM o FULL JOIN f ON o.symbol = f.symbol)
     SELECT symbol, least(oi, fi) AS ipo, CASE WHEN gone THEN coalesce(od, DATE '1997-12-01') ELSE fd END AS delisting,
@@ -155,7 +155,7 @@ def status_disagreement(spark, data):
            WHEN os IN ('Corrupted', 'Delisted') AND fs = 'Active' THEN 'Active' WHEN os NOT IN ('Corrupted', 'Delisted') AND fs = 'Delisted' THEN 'Delisted' ELSE os END AS status FROM j""")
 def catalog_merge_full(spark, data):
     old, new = _snaps(spark, data)
-    other = table(spark, data, "supplier").filter("s_nationkey % 2 = 0").select(F.col("s_suppkey").alias("symbol"))
+    other = table(spark, data, "supplier").filter("s_acctbal > 4000").select(F.col("s_suppkey").alias("symbol"))
     return catalog.merge_listing(old, new, other, _day("1997-12-01"))
 
 
@@ -238,20 +238,20 @@ def file_names(spark, data):
 
 # -- prices ----------------------------------------------------------------------------
 
-_SERIES = """s AS (SELECT l_partkey AS symbol, CAST(l_shipdate AS DATE) AS Date, max(l_extendedprice) AS c, max(l_suppkey) AS k FROM lineitem GROUP BY 1, 2),
+_SERIES = """s AS (SELECT l_partkey AS symbol, CAST(l_shipdate AS DATE) AS Date, max(l_extendedprice) AS c, max(l_suppkey) AS k, max(l_discount) AS off FROM lineitem GROUP BY 1, 2),
     t AS (SELECT *, c / (1 + k % 4) AS sa, c / (1 + k % 4) * (1 - 0.01 * (k % 3)) AS sda FROM s)"""
 
 
-@query(f"""WITH {_SERIES}, r AS (SELECT *, c / sa AS cum, sda / sa AS ratio FROM t WHERE k % 11 <> 0),
+@query(f"""WITH {_SERIES}, r AS (SELECT *, c / sa AS cum, sda / sa AS ratio FROM t WHERE off > 0),
     w AS (SELECT *, lag(cum) OVER v AS pc, lag(ratio) OVER v AS pr, lag(sa) OVER v AS ps FROM r WINDOW v AS (PARTITION BY symbol ORDER BY Date))
     SELECT symbol, Date, c AS Close, round(coalesce(pc / nullif(cum, 0), 1.0), 6) AS SplitCoefficient, round(coalesce(ps * (1 - pr / nullif(ratio, 0)) * pc, 0.0), 6) + 0 AS DividendAmount FROM w""")
 def split_dividend(spark, data):
-    li = table(spark, data, "lineitem").groupBy(F.col("l_partkey").alias("symbol"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("c"), F.max("l_suppkey").alias("k"))
+    li = table(spark, data, "lineitem").groupBy(F.col("l_partkey").alias("symbol"), F.to_date("l_shipdate").alias("Date")).agg(F.max("l_extendedprice").alias("c"), F.max("l_suppkey").alias("k"), F.max("l_discount").alias("off"))
     sa = F.col("c") / (1 + F.col("k") % 4)
     raw = li.select("symbol", "Date", F.col("c").alias("Close"))
     one = li.select("symbol", "Date", sa.alias("Close"))
     # the third variant lacks some days, which the inner joins drop
-    two = li.filter("k % 11 <> 0").select("symbol", "Date", (sa * (1 - F.lit(0.01) * (F.col("k") % 3))).alias("Close"))
+    two = li.filter("off > 0").select("symbol", "Date", (sa * (1 - F.lit(0.01) * (F.col("k") % 3))).alias("Close"))
     out = prices.corporate_actions(raw, one, two)
     return out.withColumn("DividendAmount", F.col("DividendAmount") + F.lit(0.0))
 
@@ -288,11 +288,11 @@ def anti_report_merge(spark, data):
     return coverage.merge_report(r.drop("issue_type"), retried, retried.drop("issue_type").withColumn("rec_id", -F.col("rec_id"))).select("rec_id")
 
 
-@query("""WITH p AS (SELECT p_partkey AS k, p_size AS v FROM part), l AS (SELECT k, v FROM p WHERE k % 5 <> 0), r AS (SELECT k, CASE WHEN k % 3 = 0 THEN v + 1 ELSE v END AS v FROM p WHERE k % 7 <> 0)
+@query("""WITH p AS (SELECT p_partkey AS k, p_size AS v, p_retailprice AS price FROM part), l AS (SELECT k, v FROM p WHERE v > 5), r AS (SELECT k, CASE WHEN v > 40 THEN v + 1 ELSE v END AS v FROM p WHERE price < 950)
           SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'local_only' WHEN l.k IS NULL THEN 'remote_only' ELSE 'differs' END AS class FROM l FULL JOIN r ON l.k = r.k WHERE r.k IS NULL OR l.k IS NULL OR l.v <> r.v""")
 def tree_diff(spark, data):
-    p = table(spark, data, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("v"))
-    return monitor.tree_diff(p.filter("k % 5 <> 0"), p.filter("k % 7 <> 0").withColumn("v", F.when(F.col("k") % 3 == 0, F.col("v") + 1).otherwise(F.col("v"))), "k", "v")
+    p = table(spark, data, "part").select(F.col("p_partkey").alias("k"), F.col("p_size").alias("v"), "p_retailprice")
+    return monitor.tree_diff(p.filter("v > 5"), p.filter("p_retailprice < 950").withColumn("v", F.when(F.col("v") > 40, F.col("v") + 1).otherwise(F.col("v"))), "k", "v")
 
 
 @query("SELECT p_partkey, sha256('7:' || p_partkey) AS h FROM part ORDER BY h, p_partkey LIMIT 25")
@@ -306,7 +306,7 @@ _TYPES = ("view", "click", "purchase", "signup", "error")
 _APPLICABLE = {"stocks": _TYPES, "etfs": ("view", "click")}
 _CELLS_SQL = """sy AS (SELECT DISTINCT user_id AS symbol, CASE WHEN user_id % 3 = 0 THEN 'etfs' ELSE 'stocks' END AS asset_type FROM events),
     i AS (SELECT user_id AS symbol, event_type AS endpoint, CASE event_id % 5 WHEN 0 THEN 'structure_error' WHEN 1 THEN 'empty_content' ELSE 'cast_failure' END AS issue_type, CAST(ts AS DATE) AS day FROM events),
-    le AS (SELECT DISTINCT user_id AS symbol, event_type AS endpoint FROM events WHERE event_id % 2 = 0),
+    le AS (SELECT DISTINCT user_id AS symbol, event_type AS endpoint FROM events WHERE value > 50),
     fl AS (SELECT symbol, endpoint, bool_or(issue_type IN ('structure_error', 'av_throttle')) AS hard, bool_or(issue_type = 'empty_content') AS empty FROM i GROUP BY 1, 2),
     ce AS (SELECT sy.symbol, sy.asset_type, e.endpoint, CASE WHEN sy.asset_type = 'etfs' AND e.endpoint NOT IN ('view', 'click') THEN NULL
              ELSE NOT (coalesce(fl.hard, false) OR (coalesce(fl.empty, false) AND NOT (e.endpoint = 'purchase' AND le.symbol IS NOT NULL))) END AS ok
@@ -319,7 +319,7 @@ def _cells(spark, data):
     symbols = e.select(F.col("user_id").alias("symbol")).distinct().withColumn("asset_type", F.when(F.col("symbol") % 3 == 0, "etfs").otherwise("stocks"))
     kind = F.when(F.col("event_id") % 5 == 0, "structure_error").when(F.col("event_id") % 5 == 1, "empty_content").otherwise("cast_failure")
     issues = e.select(F.col("user_id").alias("symbol"), F.col("event_type").alias("endpoint"), kind.alias("issue_type"), "day")
-    ledger = e.filter("event_id % 2 = 0").select(F.col("user_id").alias("symbol"), F.col("event_type").alias("endpoint")).distinct()
+    ledger = e.filter("value > 50").select(F.col("user_id").alias("symbol"), F.col("event_type").alias("endpoint")).distinct()
     return symbols, issues, ledger, coverage.finalise_matrix(symbols, issues, ledger, _APPLICABLE, _TYPES, forgiving=("purchase",))
 
 
@@ -411,12 +411,12 @@ def coverage_summary(spark, data):
     return held.join(stats, "symbol", "left").groupBy("fund").agg(F.count("*").alias("holdings"), F.count("n").alias("covered"), F.min("n").alias("least_rows"))
 
 
-@query("""WITH e AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS expected FROM part GROUP BY 1), w AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS written FROM part WHERE p_size % 3 <> 0 GROUP BY 1)
+@query("""WITH e AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS expected FROM part GROUP BY 1), w AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS written FROM part WHERE p_size > 10 GROUP BY 1)
           SELECT coalesce(e.endpoint, w.endpoint) AS endpoint, coalesce(expected, 0) AS expected, coalesce(written, 0) AS written, CASE WHEN coalesce(expected, 0) > 0 THEN round(coalesce(written, 0) / expected, 4) END AS written_ratio FROM e FULL JOIN w ON e.endpoint = w.endpoint""")
 def files_expected_ratio(spark, data):
     p = table(spark, data, "part")
     expected = p.select(F.col("p_brand").alias("endpoint"), F.col("p_partkey").cast("string").alias("symbol"))
-    files = p.filter("p_size % 3 <> 0").select(F.col("p_brand").alias("endpoint"), F.explode(F.array(*[F.concat(F.lit("stocks_"), F.col("p_partkey").cast("string"), F.lit(x)) for x in ("_annual.parquet", "_quarterly.parquet")])).alias("file"))
+    files = p.filter("p_size > 10").select(F.col("p_brand").alias("endpoint"), F.explode(F.array(*[F.concat(F.lit("stocks_"), F.col("p_partkey").cast("string"), F.lit(x)) for x in ("_annual.parquet", "_quarterly.parquet")])).alias("file"))
     return monitor.expected_ratio(expected, files.select("endpoint", expr.symbol_of_file("file").alias("symbol")), ["endpoint"])
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -48,7 +50,9 @@ def ship(spark: SparkSession) -> None:
     if getattr(context, "_quaymark_shipped", False):
         return
     root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="quaymark-")) / "quaymark_package.zip"
+    folder = tempfile.mkdtemp(prefix="quaymark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder) / "quaymark_package.zip"
     with zipfile.ZipFile(archive, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, f"{root.name}/{f.relative_to(root)}")
@@ -78,7 +82,9 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    base = "file://" + tempfile.mkdtemp(prefix="quaymark-")
+    folder = tempfile.mkdtemp(prefix="quaymark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    base = "file://" + folder
     spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return base
