@@ -4,7 +4,9 @@ Readings are bucketed to minutes per source and calendar day, and what is missin
 first and the last usable minute of a day is imputed by iterative singular-spectrum
 analysis: the series is embedded in a Hankel matrix, its leading singular vectors
 rebuild the trajectories, the missing entries take the rebuilt values, and this is
-repeated until they no longer move.
+repeated until they no longer move. Level and number of vectors are chosen once per series, so
+every repetition lowers the same distance and the entries settle; a series that still moves
+after ``ROUNDS`` repetitions is marked.
 
 A source's day has at most 1,440 minutes after bucketing, and bucketing is an
 aggregation with map-side combine, so no hot source makes a large group.
@@ -21,43 +23,47 @@ from pyspark.sql import functions as F
 
 from quaymark.session import heavy_partitions
 
-GRID = "symbol string, day date, minute_of_day int, Close double, Volume double, filled boolean, volume_filled boolean"
+GRID = "symbol string, day date, minute_of_day int, Close double, Volume double, filled boolean, volume_filled boolean, unsettled boolean, volume_unsettled boolean"
+#: Repetitions after which a series counts as one that doesn't settle.
+ROUNDS = 20_000
 
 
-def impute(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int = 6, energy: float = 0.95, tolerance: float = 1e-3, rounds: int = 40) -> np.ndarray:
-    """``values`` with the entries under ``missing`` replaced.
+def settle(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int = 6, energy: float = 0.95, tolerance: float = 1e-3, rounds: int = ROUNDS) -> tuple[np.ndarray, bool]:
+    """``values`` with the entries under ``missing`` replaced, and whether they settled.
 
     Starts from linear interpolation (the nearest known value at the ends). The window
     is at most a third of the series; the fewest singular vectors that carry ``energy``
-    of the variance are kept, ``rank`` at most. Iteration ends when no replaced entry
-    moves by more than ``tolerance`` standard deviations. Series with fewer than three
-    known values or six entries stay interpolated; one without known values stays NaN.
+    of the variance of that start are kept throughout, ``rank`` at most. Iteration ends when no
+    replaced entry moves by more than ``tolerance`` standard deviations, or unsettled after
+    ``rounds``. Series with fewer than three known values or six entries stay interpolated;
+    one without known values stays NaN.
     """
     known = ~missing
     out = values.astype(float).copy()
     if not missing.any():
-        return out
+        return out, True
     if not known.any():
         out[:] = np.nan
-        return out
+        return out, True
     at = np.arange(len(out))
     out[missing] = np.interp(at[missing], at[known], out[known])
     n = len(out)
     if known.sum() < 3 or n < 6:
-        return out
+        return out, True
     scale = out[known].std()
     if not np.isfinite(scale) or scale == 0:
-        return out
+        return out, True
     rows = max(2, min(window, n // 3))
     cols = n - rows + 1
     weights = np.minimum(np.minimum(np.arange(1, n + 1), np.arange(n, 0, -1)), min(rows, cols)).astype(float)
+    mean, keep = out.mean(), 0
     for _ in range(rounds):
-        mean = out.mean()
         hankel = np.lib.stride_tricks.sliding_window_view(out - mean, cols)
         power, vectors = np.linalg.eigh(hankel @ hankel.T)
-        power = power[::-1].clip(min=0)
-        total = power.sum()
-        keep = 1 if total == 0 else min(rank, int(np.searchsorted(np.cumsum(power) / total, energy)) + 1)
+        if not keep:
+            power = power[::-1].clip(min=0)
+            total = power.sum()
+            keep = 1 if total == 0 else min(rank, int(np.searchsorted(np.cumsum(power) / total, energy)) + 1)
         basis = vectors[:, ::-1][:, :keep]
         # the antidiagonal sums of a product of two vectors are their convolution
         series = sum(np.convolve(u, v) for u, v in zip(basis.T, basis.T @ hankel))
@@ -65,8 +71,13 @@ def impute(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int
         moved = np.abs(fresh - out[missing]).max()
         out[missing] = fresh
         if moved <= tolerance * scale:
-            break
-    return out
+            return out, True
+    return out, False
+
+
+def impute(values: np.ndarray, missing: np.ndarray, **options) -> np.ndarray:
+    """``values`` with the entries under ``missing`` replaced, as by ``settle``."""
+    return settle(values, missing, **options)[0]
 
 
 def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -78,13 +89,15 @@ def _fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             close, volume, there = np.full(n, np.nan), np.full(n, np.nan), np.zeros(n, dtype=bool)
             close[minutes - first], volume[minutes - first], there[minutes - first] = closes, volumes, True
             # an infinite reading is usable, but no basis for its neighbours
-            smooth = impute(np.where(np.isfinite(close), close, 0.0), ~np.isfinite(close))
+            smooth, settled = settle(np.where(np.isfinite(close), close, 0.0), ~np.isfinite(close))
             close = np.where(there, close, smooth)
             no_volume = ~np.isfinite(volume)
-            volume = np.where(no_volume, impute(np.where(no_volume, 0.0, volume), no_volume).clip(min=0), volume)
+            smooth, volume_settled = settle(np.where(no_volume, 0.0, volume), no_volume)
+            volume = np.where(no_volume, smooth.clip(min=0), volume)
             parts.append(
                 pd.DataFrame(
                     {"symbol": symbol, "day": day, "minute_of_day": np.arange(first, first + n, dtype=np.int32), "Close": close, "Volume": volume, "filled": ~there, "volume_filled": no_volume}
+                    | {"unsettled": ~there & (not settled), "volume_unsettled": no_volume & (not volume_settled)}
                 )
             )
         if parts:
@@ -98,10 +111,12 @@ def minute_grid(bars: DataFrame) -> DataFrame:
     reading is usable when its Close is neither null nor NaN. Of a stamp delivered
     twice the later delivery stands (then the larger bar_id); a minute's Close is that
     of its last stamp, its Volume the sum over its stamps. ``filled`` marks minutes
-    without usable reading, ``volume_filled`` those whose Volume was imputed. Rows
+    without usable reading, ``volume_filled`` those whose Volume was imputed; ``unsettled`` and
+    ``volume_unsettled`` are those among them whose imputation didn't settle. Rows
     without symbol or Date, and days without usable reading, give nothing. A day whose
     volumes are all missing has null volumes. Columns: ``symbol``, ``minute`` (text,
-    yyyy-MM-dd HH:mm), ``Close``, ``Volume``, ``filled``, ``volume_filled``.
+    yyyy-MM-dd HH:mm), ``Close``, ``Volume``, ``filled``, ``volume_filled``, ``unsettled``,
+    ``volume_unsettled``.
     """
     usable = bars.filter("symbol IS NOT NULL AND Date IS NOT NULL AND Close IS NOT NULL AND NOT isnan(Close)")
     at = F.col("Date").cast("timestamp_ntz")
@@ -119,4 +134,4 @@ def minute_grid(bars: DataFrame) -> DataFrame:
     )
     filled = series.mapInPandas(_fill, GRID)
     text = F.format_string("%s %02d:%02d", F.col("day").cast("string"), F.expr("minute_of_day div 60"), F.col("minute_of_day") % 60)
-    return filled.select("symbol", text.alias("minute"), "Close", "Volume", "filled", "volume_filled")
+    return filled.select("symbol", text.alias("minute"), "Close", "Volume", "filled", "volume_filled", "unsettled", "volume_unsettled")

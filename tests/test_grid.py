@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 
 from quaymark.operators import grid
 
@@ -57,3 +58,29 @@ def test_imputation_edges():
     assert np.isnan(grid.impute(np.arange(4.0), every)).all()
     constant = grid.impute(np.array([5.0] * 20), np.arange(20) % 3 == 1)
     assert (constant == 5.0).all()
+
+
+def _slow_series():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=90) + 10
+    missing = rng.random(90) < 0.4
+    missing[[0, -1]] = False
+    return x, missing
+
+
+def test_imputation_goes_on_until_it_settles():
+    x, missing = _slow_series()
+    far = grid.impute(x, missing, rounds=200_000)
+    assert np.abs(grid.impute(x, missing) - far).max() <= 1e-9 * x.std()
+    assert np.abs(grid.impute(x, missing, rounds=40) - far).max() > 0.5 * x[~missing].std()
+    assert grid.settle(x, missing)[1] and not grid.settle(x, missing, rounds=40)[1]
+
+
+def test_minutes_of_a_series_that_does_not_settle_are_marked(monkeypatch):
+    x, missing = _slow_series()
+    full = grid.settle
+    monkeypatch.setattr(grid, "settle", lambda v, m: full(v, m, rounds=40))
+    at = np.flatnonzero(~missing)
+    batch = pd.DataFrame({"symbol": ["A"], "day": [DAY], "minutes": [at], "closes": [x[at]], "volumes": [np.full(len(at), 5.0)]})
+    (got,) = grid._fill([batch])
+    assert (got.unsettled == missing).all() and not got.volume_unsettled.any()
