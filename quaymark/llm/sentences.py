@@ -18,6 +18,7 @@ text always gives the same units, and a text is never cut short.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -77,6 +78,8 @@ _END = regex.compile(_MARKS)
 _END_THAI = regex.compile(_MARKS + r"|(?<=\p{Thai}[^\p{Thai}\n]{0,40})\s+(?=\S)|(?<=\S)\s+(?=\p{Thai})")
 #: A sentence that follows without a space; addresses and file names have a slash, a sign or no capital there.
 _GLUED_BEFORE, _GLUED_AFTER = regex.compile(r"(?<![/@\\._\p{L}\p{N}])\p{L}[\p{L}\p{M}’'-]*\p{Ll}[\p{M}]*$"), regex.compile(r"\p{Lu}[\p{Ll}\p{M}]+[.,]?(?:\s|$)|\p{Lu}\s|\p{Lu}{2,}\s")
+#: White space as ``str.isspace`` has it, and what stands between two gaps.
+_BLANKS, _STRETCH = re.compile(r"\s*"), regex.compile(r"\S*")
 _CJK = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 _THAI = regex.compile(r"\p{Thai}")
 _WORD_BEFORE = regex.compile(r"(?:\p{L}\p{M}*\.)*[\p{L}\p{M}\p{N}&/’'-]+$")
@@ -117,8 +120,8 @@ def thai_words(text: str) -> list[str]:
 def _thai_gap(left: str, right: str) -> bool:
     """Whether a gap in Thai text ends a sentence; ``left`` and ``right`` are the stretches beside it."""
     a, b = bool(_THAI.match(left[-1:])), bool(_THAI.match(right[:1]))
-    last = thai_words(left[-60:])[-1] if a else ""
-    first = thai_words(right[:60])[0] if b else ""
+    last = thai_words(left)[-1] if a else ""
+    first = thai_words(right)[0] if b else ""
     if last in THAI_PARTICLES:
         return True
     if last in THAI_LINKS or first in THAI_LINKS or right[:1] in "ๆฯ":
@@ -185,40 +188,41 @@ def split_text(text: str) -> list[tuple[int, int]]:
             end, mark = end + 1, mark + "”"
             if end == n:
                 continue
-        rest = text[end : end + 200]
-        gap = len(rest) - len(rest.lstrip())
-        following = rest[gap:]
-        if not following:
+        # where the text goes on, however far that is
+        then = _BLANKS.match(text, end).end()
+        gap = then - end
+        if then == n:
             continue
-        opened = _OPENERS.match(following).end()
-        body = following[opened:]
-        nxt_match = _NEXT.match(body)
+        follows = text[then]
+        opened = _OPENERS.match(text, then).end()
+        body = text[opened : opened + 1]
+        nxt_match = _NEXT.match(text, opened)
         nxt = nxt_match.group() if nxt_match else ""
         closers = mark.rstrip()[-1:] in _CLOSERS and bool(mark.strip())
         kind = mark.strip()[:1]
         if not mark:  # after a closing bracket without terminator
-            ends = text[start:at].lstrip()[:1] in "「『" and not following.startswith(RUN_ON) and "」" not in text[start : at - 1]
+            ends = text[start:at].lstrip()[:1] in "「『" and not text.startswith(RUN_ON, then) and "」" not in text[start : at - 1]
         elif mark.isspace():
             left = text[start:at]
             # the stretch on either side up to the next gap
-            l, r = regex.search(r"\S*$", left).group(), regex.match(r"\S*", text[end : end + 200]).group()
+            l, r = regex.search(r"\S*$", left).group(), _STRETCH.match(text, end).group()
             ends = bool(_THAI.search(left + r)) and _thai_gap(l, r)
         elif kind in "。！？｡．":
-            ends = not following.startswith(RUN_ON) and not (mark[-1] in "”」』" and SPEECH.match(following)) if closers else not following.startswith(tuple("」』”）"))
+            ends = not text.startswith(RUN_ON, then) and not (mark[-1] in "”」』" and SPEECH.match(text, then)) if closers else follows not in "」』”）"
         elif kind in "؟।॥۔።។၊။":
             ends = gap > 0 or kind != "؟"
         elif regex.match(_EMOJI, kind):
             ends = True
         elif gap == 0:
             # no space: only between characters of spaceless scripts
-            beside = _CJK.match(text[at - 1 : at] or "") and (_CJK.match(following) or following[:1] in "「『（“" or (kind == "…" and following[:1].isalpha()))
+            beside = _CJK.match(text[at - 1 : at] or "") and (_CJK.match(follows) or follows in "「『（“" or (kind == "…" and follows.isalpha()))
             word = _GLUED_BEFORE.search(text[max(start, at - 40) : at])
-            glued = word and word.group().lower() not in LEADING and _GLUED_AFTER.match(following)
-            ends = bool(beside) and (kind in "!?" or "…" in mark) and not following.startswith(RUN_ON) or bool(glued)
+            glued = word and word.group().lower() not in LEADING and _GLUED_AFTER.match(text, then)
+            ends = bool(beside) and (kind in "!?" or "…" in mark) and not text.startswith(RUN_ON, then) or bool(glued)
         elif "!" in mark or "?" in mark:
-            ends = not (closers and body[:1].islower())
+            ends = not (closers and body.islower())
         elif "…" in mark or ".." in mark:
-            ends = not body[:1].islower()
+            ends = not body.islower()
         else:
             ends = bool(body) and _full_stop(text[max(start, at - 40) : at], closers, body, nxt)
         if ends:

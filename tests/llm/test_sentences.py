@@ -1,5 +1,6 @@
 import pytest
 
+from quaymark.llm import sentences as module
 from quaymark.llm.sentences import sentence_spans, sentences, thai_words
 
 
@@ -67,6 +68,20 @@ def test_units_cover_all_but_white_space():
         assert {i for i, c in enumerate(text) if not c.isspace()} <= covered
 
 
+def test_blanks_of_any_length_after_the_end():
+    for blanks in (" " * 199, " " * 200, "\t \n" + " " * 5_000):
+        assert cut("One." + blanks + "Two." + blanks + "“Three!”" + blanks + "Four.") == ["One.", "Two.", "“Three!”", "Four."]
+    assert cut("One." + " " * 500) == ["One."]
+
+
+def test_thai_words_are_told_from_the_whole_stretch(monkeypatch):
+    seen = []
+    monkeypatch.setattr(module, "thai_words", lambda text: seen.append(text) or thai_words(text))
+    left, right = "กองทุนถือหุ้น" * 30, "โรงงานปิด" * 40
+    assert cut(left + " " + right) == [left, right]
+    assert seen == [left, right]
+
+
 def test_table(spark):
     df = spark.createDataFrame([(1, "One. Two.", "x"), (2, None, "x"), (3, "", "x"), (4, "😂 so. Y", "x"), (1, "One. Two.", "x")], "doc_id long, text string, sent_start string")
     got = sorted(map(tuple, sentences(df).collect()))
