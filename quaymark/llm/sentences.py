@@ -1,14 +1,15 @@
 """Sentence units of texts in any language and layout.
 
 A text is cut into blocks at empty lines, list items with their marks and the line
-that opens a list become units, and what is left is split at sentence ends. In
-spaced scripts every run of terminators with its closing marks is a node of a small
-lattice whose alternatives (end, abbreviation, ordinal, initial, run-on quotation) are decided
-by the word before and the word after it. Chinese and Japanese end at their own
-terminators unless a speech tag runs on from the quotation. Scripts that write
-neither spaces nor terminators (Thai) are segmented into words over a dictionary
-lattice, and each gap between phrases is classified by the last word before and the
-first word after it: final particles and opening words end, connecting words run on.
+that opens a list become units, and what is left is split at sentence ends, in one pass
+over the terminators. In spaced scripts a rule per run of terminators with its closing
+marks tells end, abbreviation, ordinal, initial and run-on quotation by the word before
+and the word after it; no alternatives are weighed along a path. Chinese and Japanese end
+at their own terminators unless a speech tag runs on from the quotation; they are not
+segmented. Thai, which writes neither spaces nor terminators, is segmented into words over a
+dictionary lattice, and each gap between phrases is classified by the last word before and the
+first word after it: final particles and opening words end, connecting words run on. Lao, Khmer
+and other such scripts have no dictionary here: a block of them without terminators is one unit.
 
 Offsets count code points. Units carry no white space at their ends and cover all other
 characters. Null, empty and blank texts give no rows. No model and no state: the same
