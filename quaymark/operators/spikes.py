@@ -7,9 +7,10 @@ from the local level are spikes; they are replaced by that level and the search
 repeated until it finds nothing new. Runs without any difference catch stuck values,
 bounds catch impossible ones, and a split is held against the level it claims to move.
 
-Series are cut by calendar into blocks with a margin on both sides; after redeliveries
-are collapsed (an aggregation with map-side combine) a block holds at most one reading per
-stamp, so no source makes an unbounded group.
+Series are cut into blocks with a margin on both sides, daily readings by calendar and
+minutes by the days that have any; after redeliveries are collapsed (an aggregation with
+map-side combine) a block holds at most one reading per stamp, so no source makes an
+unbounded group.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quaymark.session import heavy_partitions
@@ -36,6 +37,8 @@ LEAST_SCALE = 1e-3
 SHORTEST_RUN, RUN_MARGIN = 5, 1.5
 #: Days of a block of daily readings, and of its margins.
 BLOCK_DAYS, MARGIN_DAYS = 1024, 128
+#: Days with readings of a block of minutes, and of its margins; a margin of eight gives every block of a longer series eight readings.
+MINUTE_BLOCK, MINUTE_MARGIN = 16, 8
 
 
 def local_level(x: np.ndarray, width: int = LEVEL) -> np.ndarray:
@@ -49,7 +52,7 @@ def _scale(x: np.ndarray) -> float:
     return 1.4826 * float(np.median(np.abs(x - np.median(x)))) if len(x) else 0.0
 
 
-def phase_space_spikes(x: np.ndarray, factor: float = FACTOR, rounds: int = 10) -> np.ndarray:
+def phase_space_spikes(x: np.ndarray, factor: float = FACTOR) -> np.ndarray:
     """Mask of the spikes in a series of finite values on an additive scale.
 
     Series of fewer than eight readings have no normal behaviour to be judged by and
@@ -64,7 +67,7 @@ def phase_space_spikes(x: np.ndarray, factor: float = FACTOR, rounds: int = 10)
     limit = factor * math.sqrt(2 * math.log(n))
     clean = x.copy()
     far = np.zeros(n)
-    for _ in range(rounds):
+    while True:  # suspects only grow, so this ends
         level = local_level(clean)
         u = x - level
         kept = ~suspects
@@ -190,13 +193,18 @@ def implausible_readings(daily: DataFrame, minutes: DataFrame) -> DataFrame:
     m = _standing(minutes, ("High", "Low"))
     nan = F.lit(float("nan"))
     day = F.unix_date(F.to_date("at"))
-    block = lambda shift: F.floor((day + shift) / BLOCK_DAYS)
-    d_blocks = d.withColumn("block", F.explode(F.array_distinct(F.array(block(-MARGIN_DAYS), block(0), block(MARGIN_DAYS))))).select(
-        F.lit("prices_daily").alias("tbl"), "symbol", "block", F.col("at").cast("timestamp_ntz").alias("at"), "bar_id", (F.col("block") == block(0)).alias("own"),
+    block = lambda at, days, shift: F.floor((at + shift) / days)
+    blocks = lambda at, days, margin: F.explode(F.array_distinct(F.array(*(block(at, days, x) for x in (-margin, 0, margin)))))
+    d_blocks = d.withColumn("block", blocks(day, BLOCK_DAYS, MARGIN_DAYS)).select(
+        F.lit("prices_daily").alias("tbl"), "symbol", "block", F.col("at").cast("timestamp_ntz").alias("at"), "bar_id", (F.col("block") == block(day, BLOCK_DAYS, 0)).alias("own"),
         F.coalesce("Close", nan).alias("v1"), F.coalesce("Volume", nan).alias("v2"), F.coalesce("SplitCoefficient", nan).alias("v3"),
     )
-    m_blocks = m.select(
-        F.lit("prices").alias("tbl"), "symbol", day.cast("bigint").alias("block"), F.col("at").cast("timestamp_ntz").alias("at"), "bar_id", F.lit(True).alias("own"),
+    usable = m.filter((F.col("High") > 0) & (F.col("High") < float("inf"))).withColumn("day", day)
+    # a symbol's days are as many as the calendar has
+    numbered = usable.select("symbol", "day").distinct().withColumn("no", F.row_number().over(Window.partitionBy("symbol").orderBy("day")) - 1)
+    no = F.col("no")
+    m_blocks = usable.join(numbered, ["symbol", "day"]).withColumn("block", blocks(no, MINUTE_BLOCK, MINUTE_MARGIN)).select(
+        F.lit("prices").alias("tbl"), "symbol", "block", F.col("at").cast("timestamp_ntz").alias("at"), "bar_id", (F.col("block") == block(no, MINUTE_BLOCK, 0)).alias("own"),
         F.coalesce("High", nan).alias("v1"), nan.alias("v2"), nan.alias("v3"),
     )
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("at"))

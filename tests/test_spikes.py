@@ -89,3 +89,46 @@ def test_blocks_agree_with_their_neighbours_and_empty_tables(spark):
     got = spikes.implausible_readings(spark.createDataFrame(rows, DAILY), empty).collect()
     assert {r.bar_id for r in got} == spiked and len(got) == len(spiked)
     assert spikes.implausible_readings(spark.createDataFrame([], DAILY), empty).count() == 0
+
+
+def _minutes(day, logs, first_id):
+    start = dt.datetime.combine(D0 + dt.timedelta(days=day), dt.time(9, 30))
+    return [(first_id + i, "A", start + dt.timedelta(minutes=i), float(np.exp(v)), 1.0, D0 + dt.timedelta(days=day)) for i, v in enumerate(logs)]
+
+
+def test_minutes_are_judged_by_the_symbol_and_not_by_the_day(spark):
+    # days far apart; spikes at the last and at the first minute of a day, between one and two thresholds, and on a day of five readings
+    logs = [4 + noise(120, seed=s) for s in (1, 2, 3)] + [4 + noise(5, seed=4)]
+    logs[0][-1] += 0.15
+    logs[2][0] += 0.15
+    logs[3][2] += 0.5
+    rows = [r for k, v in enumerate(logs) for r in _minutes(60 * k, v, 1000 * k)]
+    got = spikes.implausible_readings(spark.createDataFrame([], DAILY), spark.createDataFrame(rows, MINUTE)).collect()
+    assert {(r.bar_id, r.field) for r in got} == {(119, "High"), (2000, "High"), (3002, "High")}
+
+
+def test_minutes_of_many_short_days_are_found_once(spark):
+    # more days than a block holds, each too short to be judged alone; 33 leaves one day to the last block
+    logs = [4 + noise(3, seed=s) for s in range(33)]
+    for k in (0, 15, 16, 31, 32):
+        logs[k][1] += 0.6
+    rows = [r for k, v in enumerate(logs) for r in _minutes(3 * k, v, 10 * k)]
+    got = spikes.implausible_readings(spark.createDataFrame([], DAILY), spark.createDataFrame(rows, MINUTE)).collect()
+    assert sorted(r.bar_id for r in got) == [1, 151, 161, 311, 321]
+
+
+def test_the_search_goes_on_while_anything_new_is_found(monkeypatch):
+    # a level that shows one more spike at each round
+    x = 4 + noise(400)
+    at = list(range(20, 320, 20))
+    x[at] += 1
+    calls = []
+
+    def level(clean):
+        calls.append(1)
+        hidden = np.full(len(x), 4.0)
+        hidden[at[len(calls) :]] = x[at[len(calls) :]]
+        return hidden
+
+    monkeypatch.setattr(spikes, "local_level", level)
+    assert list(np.flatnonzero(spikes.phase_space_spikes(x))) == at and len(calls) == len(at) + 1
