@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.functions import expr
-from quaymark.operators import catalog, coverage, monitor, prices, windows
+from quaymark.operators import catalog, clean, coverage, monitor, prices, windows
 from quaymark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -476,15 +476,15 @@ def horizon_split(spark, data):
 def tz_mismatch(spark, data):
     zone = F.when(F.col("event_type").isin("error", "signup"), "UTC").otherwise("US/Eastern")
     meta = F.create_map(F.lit("1. Information"), F.lit("x"), F.lit("6. Time Zone"), zone)
-    found = F.element_at(meta, F.get(F.filter(F.map_keys(meta), lambda k: k.rlike(r"^\d+\.\s*Time Zone$")), 0))
-    return table(spark, data, "events").filter(found != "US/Eastern").groupBy("user_id").agg(F.lit("timezone_mismatch").alias("issue"), F.count("*").alias("n"))
+    events = table(spark, data, "events").select("user_id", clean.time_zone_issue(meta, "US/Eastern").alias("issue"))
+    return events.filter("issue IS NOT NULL").groupBy("user_id", "issue").agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'open;low' WHEN 'O' THEN 'low' END AS missing FROM orders WHERE o_orderstatus IN ('F', 'O')")
 def required_keys(spark, data):
-    have = F.when(F.col("o_orderstatus") == "F", F.array(F.lit("close"))).when(F.col("o_orderstatus") == "O", F.array(F.lit("open"), F.lit("close"))).otherwise(F.array(F.lit("open"), F.lit("low"), F.lit("close")))
-    missing = F.array_except(F.array(F.lit("open"), F.lit("low"), F.lit("close")), have)
-    return table(spark, data, "orders").select("o_orderkey", F.nullif(F.array_join(missing, ";"), F.lit("")).alias("missing")).filter("missing IS NOT NULL")
+    having = lambda *keys: F.create_map(*[F.lit(x) for k in keys for x in (k, "1")])
+    record = F.when(F.col("o_orderstatus") == "F", having("close")).when(F.col("o_orderstatus") == "O", having("open", "close")).otherwise(having("open", "low", "close"))
+    return table(spark, data, "orders").select("o_orderkey", clean.missing_keys(record, ["open", "low", "close"]).alias("missing")).filter("missing IS NOT NULL")
 
 
 # -- point in time ----------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quaymark.functions import expr
 from quaymark.operators import catalog, clean, coverage, monitor, prices, windows
+from quaymark.plans import reference
 
 D = dt.date
 
@@ -130,3 +131,13 @@ def test_point_in_time_and_restatements(spark):
     df = spark.createDataFrame([("A", 1, 10.0), ("A", 2, 10.0), ("A", 3, None), ("A", 4, 12.0)], "k string, seen int, v double")
     assert windows.known_on(df, ["k"], "seen", F.lit(2), [F.col("v")]).first().seen == 2
     assert [(r.seen, r.old_value, r.v) for r in windows.restatements(df, ["k"], "seen", "v", []).orderBy("seen").collect()] == [(3, 10.0, None), (4, None, 12.0)]
+
+
+def test_the_queries_of_issues_run_the_operators(spark, monkeypatch):
+    called = []
+    monkeypatch.setattr(reference, "table", lambda s, d, t: s.createDataFrame([(1, "error"), (1, "view"), (2, None)], "user_id long, event_type string") if t == "events" else s.createDataFrame([(1, "F"), (2, "O"), (3, "P"), (4, None)], "o_orderkey long, o_orderstatus string"))
+    for name in ("time_zone_issue", "missing_keys"):
+        monkeypatch.setattr(clean, name, lambda *a, name=name, f=getattr(clean, name): called.append(name) or f(*a))
+    assert sorted(map(tuple, reference.tz_mismatch(spark, "").collect())) == [(1, "timezone_mismatch", 1)]
+    assert sorted(map(tuple, reference.required_keys(spark, "").collect())) == [(1, "open;low"), (2, "low")]
+    assert called == ["time_zone_issue", "missing_keys"]

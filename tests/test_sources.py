@@ -118,3 +118,19 @@ def test_fixed_catalogs(spark):
     assert readers.static_catalog(spark, "commodities").count() == 13 and readers.static_catalog(spark, "economic").count() == readers.indicator_config(spark).count() == 15
     got = readers.with_commodity_class(spark.createDataFrame([("WTI",), ("XAU",), ("CORN",), ("?",)], "symbol string"))
     assert {r.symbol: r["class"] for r in got.collect()} == {"WTI": "daily", "XAU": "gold_silver", "CORN": "monthly", "?": "structure_error"}
+
+
+def test_index_catalog_and_currency_pairs(spark):
+    body = spark.createDataFrame([(json.dumps({"SPX": "S&P 500", "NDX": None}),), ("{}",), ("no json",), (None,)], "body string")
+    assert sorted(map(tuple, readers.index_catalog(body).collect())) == [("NDX", None), ("SPX", "S&P 500")]
+    codes = spark.createDataFrame([("EUR", "Euro"), ("USD", "United States Dollar"), ("JPY", "Japanese Yen"), (None, "?")], "`currency code` string, `currency name` string")
+    assert sorted(map(tuple, readers.currency_pairs(codes).collect())) == [("EURUSD", "Euro to US Dollar"), ("JPYUSD", "Japanese Yen to US Dollar")]
+
+
+def test_write_by_day_replaces_only_the_days_it_has(spark, tmp_path):
+    path, one, two = f"{tmp_path}/news", dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    schema = "symbol string, n int, folder_date date"
+    sinks.write_by_day(spark.createDataFrame([("A", 1, one), (None, 2, one), ("A", 3, two)], schema), path)
+    sinks.write_by_day(spark.createDataFrame([("B", 4, two)], schema), path)
+    got = {(r.symbol, r.n, r.folder_date) for r in spark.read.parquet(path).collect()}
+    assert got == {("A", 1, one), (None, 2, one), ("B", 4, two)}
