@@ -73,12 +73,22 @@ def write_by_day(df: DataFrame, path: str, day: str = "folder_date") -> None:
     df.repartition(day, F.pmod(F.xxhash64("symbol"), F.lit(16))).sortWithinPartitions("symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
 
 
+#: Key of a report's JSON that names the sections cut for display.
+CUT_SECTIONS = "cut_sections"
+
+
 def report_text(sections: dict[str, DataFrame], most_rows: int = 50) -> tuple[str, str]:
-    """(JSON, Markdown) of small report tables; long tables are cut for display, and say so."""
-    data, lines = {}, []
+    """(JSON, Markdown) of small report tables; long tables are cut for display, and say so.
+
+    In the JSON ``CUT_SECTIONS`` then lists the sections that have more rows than shown.
+    """
+    if CUT_SECTIONS in sections:
+        raise ValueError(f"no section may be named {CUT_SECTIONS}")
+    data, lines, cut = {}, [], []
     for name, df in sections.items():
         rows = df.limit(most_rows + 1).collect()
+        cut += [name] if len(rows) > most_rows else []
         data[name] = [json.loads(json.dumps(r.asDict(recursive=True), default=str)) for r in rows[:most_rows]]
         lines += [f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
         lines += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows[:most_rows]] + (["", f"(more than {most_rows} rows)"] if len(rows) > most_rows else []) + [""]
-    return json.dumps(data), "\n".join(lines)
+    return json.dumps(data | ({CUT_SECTIONS: cut} if cut else {})), "\n".join(lines)

@@ -134,3 +134,12 @@ def test_write_by_day_replaces_only_the_days_it_has(spark, tmp_path):
     sinks.write_by_day(spark.createDataFrame([("B", 4, two)], schema), path)
     got = {(r.symbol, r.n, r.folder_date) for r in spark.read.parquet(path).collect()}
     assert got == {("A", 1, one), (None, 2, one), ("B", 4, two)}
+
+
+def test_json_reports_say_which_sections_are_cut(spark):
+    text, _ = sinks.report_text({"long": spark.range(51), "short": spark.range(50)})
+    data = json.loads(text)
+    assert len(data["long"]) == len(data["short"]) == 50 and data["cut_sections"] == ["long"]
+    assert json.loads(sinks.report_text({"short": spark.range(50)})[0]).keys() == {"short"}
+    with pytest.raises(ValueError):
+        sinks.report_text({"cut_sections": spark.range(1)})
