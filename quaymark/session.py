@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every session gets; a cluster's own submit settings win.
 DEFAULTS = {
@@ -92,24 +92,48 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
-    return f"{shared_dir(spark)}/quaymark/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/quaymark/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the files of shuffles that nothing refers to any more."""
-    gc.collect()
-    spark._jvm.System.gc()
+@contextmanager
+def cleaned(spark: SparkSession):
+    """Actions that write in here drop the files of their own shuffles as they end, so that none pile up over a query of several steps."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
-def written(df, label: str):
+def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
     This cuts the lineage with a table that survives the loss of any executor.
-    Columns and types stay as they are. The shuffles that led to it are no longer needed;
-    the collection lets Spark's cleaner drop their files.
+    Columns and types stay as they are. ``discard`` deletes the table once all that
+    reads it has been written itself.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    with cleaned(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete intermediate tables of ``written`` that nothing will read any more."""
+    for df in tables:
+        _delete(df.sparkSession, df.scratch)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this session; for when the results of its queries have been read."""
+    _delete(spark, f"{shared_dir(spark)}/quaymark/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
