@@ -13,6 +13,7 @@ Policies, which hold everywhere:
   midnight; a value without seconds has second 0;
 * all-digit texts count from 1970-01-01 UTC, in seconds up to 11 digits, milliseconds
   up to 14, microseconds up to 17, nanoseconds up to 19;
+* a month or weekday is named whole or by its first three letters, and a weekday must be that of its date;
 * white space around a stamp does not count; anything that no pattern takes as a
   whole, any date or time that does not exist (24:00 and leap seconds too), an unknown zone or
   abbreviation, and null give null.
@@ -25,9 +26,10 @@ from zoneinfo import available_timezones
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Month names of the stamps and hours of offset of the abbreviations of
+#: Names of months and weekdays in the stamps, whole or by their first letters, and hours of offset of the abbreviations of
 #: North America, Western Europe and Japan.
-MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+MONTHS = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December")
+WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 ABBREVIATIONS = {
     "Z": 0, "UTC": 0, "UT": 0, "GMT": 0, "WET": 0, "WEST": 1, "BST": 1, "IST": 1, "CET": 1, "CEST": 2, "MET": 1, "MEST": 2, "JST": 9,
     "NST": -3.5, "NDT": -2.5, "AST": -4, "ADT": -3, "EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6, "PST": -8, "PDT": -7, "AKST": -9, "AKDT": -8, "HST": -10,
@@ -36,18 +38,19 @@ ABBREVIATIONS = {
 _ZONE = r"\s*([Zz]|[+-]\d{2}(?::?\d{2})?(?:\[[^\]]*\])?|[A-Za-z]{2,5}|\[?[A-Za-z_]+(?:/[A-Za-z0-9_+-]+)+\]?)?"
 _CLOCK = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
 _HALF = r"\s*([AaPp][Mm])?"
-_NAMES = "(" + "|".join(MONTHS) + ")"
+_NAMES = "(" + "|".join(f"{m[:3]}(?:{m[3:]})?" if len(m) > 3 else m for m in MONTHS) + ")"
+_WEEKDAYS = "(" + "|".join(f"{d[:3]}(?:{d[3:]})?" for d in WEEKDAYS) + ")"
 
-#: Pattern and the groups of year, month, day, hour, minute, second, fraction, half day, zone in it.
+#: Pattern and the groups of year, month, day, hour, minute, second, fraction, half day, zone, weekday in it.
 CASCADE = (
-    (r"^(\d{4})-(\d{2})-(\d{2})(?:[T ]" + _CLOCK + _ZONE + ")?$", (1, 2, 3, 4, 5, 6, 7, 0, 8)),
-    (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d{1,9}))?)?" + _ZONE + "$", (1, 2, 3, 4, 5, 6, 7, 0, 8)),
-    (r"^(?:[A-Z][a-z]{2}, )?(\d{1,2})[ -]" + _NAMES + r"[ -](\d{4})(?: " + _CLOCK + _ZONE + ")?$", (3, 2, 1, 4, 5, 6, 7, 0, 8)),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (3, 1, 2, 4, 5, 6, 7, 8, 9)),
-    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (3, 2, 1, 4, 5, 6, 7, 8, 9)),
-    (r"^" + _NAMES + r"[a-z]* (\d{1,2}), (\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (3, 1, 2, 4, 5, 6, 7, 8, 9)),
+    (r"^(\d{4})-(\d{2})-(\d{2})(?:[T ]" + _CLOCK + _ZONE + ")?$", (1, 2, 3, 4, 5, 6, 7, 0, 8, 0)),
+    (r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d{1,9}))?)?" + _ZONE + "$", (1, 2, 3, 4, 5, 6, 7, 0, 8, 0)),
+    (r"^(?:" + _WEEKDAYS + r", )?(\d{1,2})[ -]" + _NAMES + r"[ -](\d{4})(?: " + _CLOCK + _ZONE + ")?$", (4, 3, 2, 5, 6, 7, 8, 0, 9, 1)),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (3, 1, 2, 4, 5, 6, 7, 8, 9, 0)),
+    (r"^(\d{1,2})\.(\d{1,2})\.(\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (3, 2, 1, 4, 5, 6, 7, 8, 9, 0)),
+    (r"^(?:" + _WEEKDAYS + r", )?" + _NAMES + r" (\d{1,2}), (\d{4})(?:,? " + _CLOCK + _HALF + _ZONE + ")?$", (4, 2, 3, 5, 6, 7, 8, 9, 10, 1)),
 )
-_PARTS = ("y", "mo", "d", "h", "mi", "s", "fr", "half", "zone")
+_PARTS = ("y", "mo", "d", "h", "mi", "s", "fr", "half", "zone", "weekday")
 
 
 def _take_apart(text: Column) -> Column:
@@ -86,15 +89,16 @@ def with_instant(df: DataFrame, stamp: str, default_zone: Column, out: str = "ep
     text = F.regexp_replace(F.col(f"`{stamp}`"), r"^\s+|\s+$", "")
     df = df.withColumn(f"{p}t", text).withColumn(f"{p}p", F.split(_take_apart(F.col(f"{p}t")), r"\|"))
     part = {k: F.get(F.col(f"{p}p"), F.lit(i)) for i, k in enumerate(_PARTS)}
-    month = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), part["mo"]).cast("int"), F.lit(0)), part["mo"].try_cast("int"))
+    month = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(m[:3]) for m in MONTHS]), F.substring(part["mo"], 1, 3)).cast("int"), F.lit(0)), part["mo"].try_cast("int"))
     day = F.concat_ws("-", part["y"], F.lpad(month.cast("string"), 2, "0"), F.lpad(part["d"], 2, "0")).try_cast("date")
     num = {k: F.coalesce(F.nullif(part[k], F.lit("")).try_cast("int"), F.lit(0)) for k in ("h", "mi", "s")}
     pm, halved = F.lower(part["half"]) == "pm", part["half"] != ""
     hour = F.when(halved, num["h"] % 12 + F.when(pm, 12).otherwise(0)).otherwise(num["h"])
+    named = (part["weekday"] == "") | (F.weekday(day) + 1 == F.array_position(F.array(*[F.lit(d[:3]) for d in WEEKDAYS]), F.substring(part["weekday"], 1, 3)))
     sane = F.when(halved, num["h"].between(1, 12)).otherwise(num["h"] < 24) & (num["mi"] < 60) & (num["s"] < 60)
     fraction = F.rpad(F.substring(part["fr"], 1, 6), 6, "0").cast("bigint")
     seconds = F.unix_date(day).cast("bigint") * 86400 + hour * 3600 + num["mi"] * 60 + num["s"]
-    df = df.withColumns({f"{p}us": F.when(sane, seconds * 1_000_000 + fraction), f"{p}z": part["zone"]})
+    df = df.withColumns({f"{p}us": F.when(named & sane, seconds * 1_000_000 + fraction), f"{p}z": part["zone"]})
 
     zone = F.col(f"{p}z")
     offset = r"^([+-])(\d{2}):?(\d{2})?.*$"

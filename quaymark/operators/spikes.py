@@ -1,10 +1,12 @@
 """Implausible readings, judged against the source's own normal behaviour.
 
-Spikes are found by phase-space thresholding: a reading, its first and its second
-difference are points in three planes, each with an ellipse whose axes are robust
-scales times the universal threshold. Points outside an ellipse that are themselves far
-from the local level are spikes; they are replaced by that level and the search is
-repeated until it finds nothing new. Runs without any difference catch stuck values,
+Spikes are found by phase-space thresholding: a reading's distance from the local level, its
+first and its second difference are points in three planes, each with an ellipse whose axes are robust
+scales times the universal threshold; that of distance and second difference lies along the
+principal axis of its points. Points outside an ellipse are suspects. A spike throws its
+neighbours out of the ellipses of the differences too, so those are
+taken that are at least half as far from the local level as any such point near them. They are
+replaced by that level and the search is repeated until it finds nothing new. Runs without any difference catch stuck values,
 bounds catch impossible ones, and a split is held against the level it claims to move.
 
 Series are cut into blocks with a margin on both sides, daily readings by calendar and
@@ -29,6 +31,8 @@ from quaymark.session import heavy_partitions
 LEVEL = 11
 #: A spike is back at its former level within so many rows.
 LONGEST_SPIKE = 3
+#: A spike reaches the central second differences of so many rows beside it.
+REACH = LONGEST_SPIKE + 1
 #: Times the universal threshold sqrt(2 ln n); market data has heavier tails than the normal noise that was derived for.
 FACTOR = 3.0
 #: Normal move, on a log scale, of a series that moves too rarely to show one.
@@ -52,13 +56,43 @@ def _scale(x: np.ndarray) -> float:
     return 1.4826 * float(np.median(np.abs(x - np.median(x)))) if len(x) else 0.0
 
 
+def outside_ellipses(u: np.ndarray, kept: np.ndarray, limit: float, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Masks of the points outside each of the three ellipses of phase space: value and first, first and second, value and second difference.
+
+    ``u`` is the distance from the local level; differences are central. Scales are those of the ``kept``
+    points, at least those of a walk whose distances have scale ``least``. The ellipse of ``u`` and its second difference is turned by the angle of their
+    principal axis, its axes being those whose projections are the two scales.
+    """
+    d1 = np.gradient(u)
+    d2 = np.gradient(d1)
+    su = max(_scale(u[kept]), least)
+    s1, s2 = max(_scale(d1[kept]), least), max(_scale(d2[kept]), least / math.sqrt(2))
+    a, b, c = u / (limit * su), d1 / (limit * s1), d2 / (limit * s2)
+    angle = math.atan2(float((u * d2)[kept].sum()), max(float((u * u)[kept].sum()), 1e-300))
+    cos, sin = math.cos(angle), math.sin(angle)
+    spread = cos**4 - sin**4
+    long, short = (su * su * cos * cos - s2 * s2 * sin * sin, s2 * s2 * cos * cos - su * su * sin * sin)
+    if spread > 0 and long > 0 and short > 0:
+        turned = ((u * cos + d2 * sin) ** 2 / long + (d2 * cos - u * sin) ** 2 / short) * spread / limit**2
+    else:  # scales that no turned ellipse has
+        turned = a * a + c * c
+    return a * a + b * b > 1, b * b + c * c > 1, turned > 1
+
+
+def _farthest(outside: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The points outside that are at least half as far from the level as any other outside within ``REACH`` rows."""
+    far = np.where(outside, np.abs(u), 0.0)
+    near = np.lib.stride_tricks.sliding_window_view(np.pad(far, REACH), 2 * REACH + 1).max(axis=1)
+    return outside & (far >= near / 2)
+
+
 def phase_space_spikes(x: np.ndarray, factor: float = FACTOR) -> np.ndarray:
     """Mask of the spikes in a series of finite values on an additive scale.
 
     Series of fewer than eight readings have no normal behaviour to be judged by and
     no spikes. A spike is at most ``LONGEST_SPIKE`` rows long and lies between rows of
-    the same level; at an end of the series, where one side is missing, it must exceed
-    twice the threshold instead.
+    the same level; at an end of the series, where one side is missing, it must be
+    twice as far from the level as the ellipses allow.
     """
     n = len(x)
     suspects = np.zeros(n, dtype=bool)
@@ -66,7 +100,6 @@ def phase_space_spikes(x: np.ndarray, factor: float = FACTOR) -> np.ndarray:
         return suspects
     limit = factor * math.sqrt(2 * math.log(n))
     clean = x.copy()
-    far = np.zeros(n)
     while True:  # suspects only grow, so this ends
         level = local_level(clean)
         u = x - level
@@ -75,14 +108,11 @@ def phase_space_spikes(x: np.ndarray, factor: float = FACTOR) -> np.ndarray:
         moves = moves[moves != 0]
         # a source that often repeats its value shows its normal moves only when it moves; one that hardly moves shows none
         usual = _scale(moves) / math.sqrt(2) if len(moves) >= n / 5 else LEAST_SCALE
-        su = max(_scale(u[kept]), usual, 1e-9)
-        d1 = np.concatenate([[0.0], np.diff(u)])
-        d2 = np.concatenate([[0.0], np.diff(d1)])
-        s1, s2 = max(_scale(d1[kept]), su), max(_scale(d2[kept]), su)
-        a, b, c = u / (limit * su), d1 / (limit * s1), d2 / (limit * s2)
-        outside = (a * a + b * b > 1) | (b * b + c * c > 1) | (a * a + c * c > 1)
-        far = np.abs(a)
-        fresh = (outside & (far > 1)) & ~suspects
+        least = max(usual, 1e-9)
+        far = np.abs(u) / (limit * max(_scale(u[kept]), least))
+        # the points that are suspects already must not hide their neighbours' differences
+        outside = np.any(outside_ellipses(np.where(suspects, 0.0, u), kept, limit, least), axis=0)
+        fresh = _farthest(outside, u) & ~suspects
         if not fresh.any():
             break
         suspects |= fresh

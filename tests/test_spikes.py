@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 
 from quaymark.operators import spikes
 
@@ -132,3 +133,40 @@ def test_the_search_goes_on_while_anything_new_is_found(monkeypatch):
 
     monkeypatch.setattr(spikes, "local_level", level)
     assert list(np.flatnonzero(spikes.phase_space_spikes(x))) == at and len(calls) == len(at) + 1
+
+
+def correlated(n=4000, seed=2, rho=0.9):
+    """Distances from a level that move slowly: their differences are small beside them."""
+    rng = np.random.default_rng(seed)
+    u, e = np.zeros(n), rng.normal(size=n) * np.sqrt(1 - rho**2)
+    for i in range(1, n):
+        u[i] = rho * u[i - 1] + e[i]
+    return u
+
+
+@pytest.mark.parametrize(("which", "shape", "rho"), [(0, (1.0, 1.0), 0.0), (1, (1.0, 1.0), 0.9), (2, (1.0,), 0.5)])
+def test_each_ellipse_decides_alone_somewhere(which, shape, rho):
+    # a jump of the given shape and of rising size: some size is outside this ellipse and inside the two others and the value's own limit
+    base = correlated(rho=rho)
+    limit, at, alone = 12.0, 2000, []
+    base[at - 4 : at + 6] = 0.0
+    for size in np.arange(2.0, 12.0, 0.1):
+        u = base.copy()
+        u[at : at + len(shape)] += size * np.array(shape)
+        masks = spikes.outside_ellipses(u, np.ones(len(u), bool), limit, 0.01)
+        if masks[which][at] and not any(m[at] for k, m in enumerate(masks) if k != which):
+            alone.append(size)
+    assert alone and max(alone) < limit * base.std()
+
+
+def test_the_differences_tell_a_spike_that_its_value_does_not():
+    x = correlated()
+    level = spikes.local_level(x)
+    limit = spikes.FACTOR * np.sqrt(2 * np.log(len(x)))
+    u = x - level
+    size = 0.85 * limit * spikes._scale(u)
+    y = x.copy()
+    y[2000] = level[2000] + size
+    assert abs(y[2000] - spikes.local_level(y)[2000]) < limit * spikes._scale(y - spikes.local_level(y))
+    found = np.flatnonzero(spikes.phase_space_spikes(y))
+    assert 2000 in found and len(np.setdiff1d(found, np.flatnonzero(spikes.phase_space_spikes(x)))) == 1

@@ -32,6 +32,8 @@ def test_formats(spark):
         "2024-07-05 09:30:15 CEST": us(2024, 7, 5, 7, 30, 15),
         "Fri, 05 Jan 2024 09:30:15 +0100": us(2024, 1, 5, 8, 30, 15),
         "Fri, 05 Jan 2024 09:30:15 GMT": us(2024, 1, 5, 9, 30, 15),
+        "Friday, 5 January 2024 09:30:15": us(2024, 1, 5, 9, 30, 15),
+        "Fri, January 5, 2024 9:30 AM": us(2024, 1, 5, 9, 30),
         "05-Jan-2024 09:30:15": us(2024, 1, 5, 9, 30, 15),
         "01/05/2024 12:05:00 AM": us(2024, 1, 5, 0, 5),
         "01/05/2024 12:05:00 pm": us(2024, 1, 5, 12, 5),
@@ -47,7 +49,7 @@ def test_formats(spark):
 
 def test_nothing_denoted(spark):
     bad = [None, "", " ", ".", "None", "pending", "yesterday 14:05", "T153000", "0000-00-00 00:00:00", "20241345T101500", "2023-02-29", "2024-01-05 24:00:00",
-           "2024-01-05 10:60:00", "2024-01-05T09:30:15[Mars/Phobos]", "2024-01-05 09:30:15 XYZ", "13/05/2024 1:00:00 PM", "01/05/2024 13:00:00 PM", "x2024-01-05", "2024-01-05T09:30:15+0", "99999999999999999999999"]
+           "2024-01-05 10:60:00", "2024-01-05T09:30:15[Mars/Phobos]", "2024-01-05 09:30:15 XYZ", "13/05/2024 1:00:00 PM", "01/05/2024 13:00:00 PM", "x2024-01-05", "Xyz, 01 Jan 2024", "Mon, 05 Jan 2024 09:30:15", "Friday, Janfoo 5, 2024", "Janfoo 3, 2024", "Jan. 3, 2024", "Frida, 05 Jan 2024", "2024-01-05T09:30:15+0", "99999999999999999999999"]
     assert read(spark, [(s, "UTC") for s in bad]) == [None] * len(bad)
     assert read(spark, [("2024-01-05 09:30:00", "Nowhere/At_all"), ("2024-01-05 09:30:00", None), ("2024-01-05 09:30:00Z", None)]) == [None, None, us(2024, 1, 5, 9, 30)]
 
