@@ -119,13 +119,19 @@ def vocabulary_path(name: str, folder: str | None = None) -> str:
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """Rows spread over enough tasks for work that is heavy per row, by a hash of ``key`` and ``text``.
+    """Rows spread over enough tasks for work that is heavy per row; only where reading them leaves cores idle.
 
-    A few files of well-compressed text would otherwise leave most cores idle. The
-    hash makes the split the same in every attempt, so lost tasks can be redone, and the
-    text in it keeps rows without key apart.
+    Files are read in at least one task per core as soon as there are so many times the cost of opening one
+    (``spark.sql.files.openCostInBytes``), so texts of any size worth it stay where they are read.
+    Less than that is moved, by a hash of ``key`` and ``text``, which makes the split the same in every attempt and
+    keeps rows without key apart.
     """
-    return rows.repartition(heavy_partitions(rows.sparkSession), F.xxhash64(key, "text"))
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    opening = spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()
+    if size >= opening * spark.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(heavy_partitions(spark), F.xxhash64(key, "text"))
 
 
 def _encode(path: str):
