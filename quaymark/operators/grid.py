@@ -5,8 +5,10 @@ first and the last usable minute of a day is imputed by iterative singular-spect
 analysis: the series is embedded in a Hankel matrix, its leading singular vectors
 rebuild the trajectories, the missing entries take the rebuilt values, and this is
 repeated until they no longer move. Level and number of vectors are chosen once per series, so
-every repetition lowers the same distance and the entries settle; a series that still moves
-after ``ROUNDS`` repetitions is marked.
+every repetition lowers the same distance and the entries settle. Two things shorten the way to the same
+entries: the singular vectors start from those of the repetition before, and the entries are extrapolated from
+the last two repetitions (a secant step, bounded). An entry counts as settled only where a repetition with singular vectors from
+scratch leaves it; a series that still moves after ``ROUNDS`` repetitions is marked.
 
 A source's day has at most 1,440 minutes after bucketing, and bucketing is an
 aggregation with map-side combine, so no hot source makes a large group.
@@ -26,6 +28,8 @@ from quaymark.session import heavy_partitions
 GRID = "symbol string, day date, minute_of_day int, Close double, Volume double, filled boolean, volume_filled boolean, unsettled boolean, volume_unsettled boolean"
 #: Repetitions after which a series counts as one that doesn't settle.
 ROUNDS = 20_000
+#: So many moves of a repetition may be taken at once.
+TRUST = 3.0
 
 
 def settle(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int = 6, energy: float = 0.95, tolerance: float = 1e-3, rounds: int = ROUNDS) -> tuple[np.ndarray, bool]:
@@ -56,22 +60,48 @@ def settle(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int
     rows = max(2, min(window, n // 3))
     cols = n - rows + 1
     weights = np.minimum(np.minimum(np.arange(1, n + 1), np.arange(n, 0, -1)), min(rows, cols)).astype(float)
-    mean, keep = out.mean(), 0
+    mean, gaps = out.mean(), np.flatnonzero(missing)
+
+    def rebuilt(basis: np.ndarray, hankel: np.ndarray) -> np.ndarray:
+        # the antidiagonal sums of a product of two vectors are their convolution
+        return (sum(np.convolve(u, v) for u, v in zip(basis.T, basis.T @ hankel)) / weights + mean)[gaps]
+
+    basis, scratch = None, True
+    before: tuple[np.ndarray, np.ndarray, float] | None = None
     for _ in range(rounds):
         hankel = np.lib.stride_tricks.sliding_window_view(out - mean, cols)
-        power, vectors = np.linalg.eigh(hankel @ hankel.T)
-        if not keep:
-            power = power[::-1].clip(min=0)
-            total = power.sum()
-            keep = 1 if total == 0 else min(rank, int(np.searchsorted(np.cumsum(power) / total, energy)) + 1)
-        basis = vectors[:, ::-1][:, :keep]
-        # the antidiagonal sums of a product of two vectors are their convolution
-        series = sum(np.convolve(u, v) for u, v in zip(basis.T, basis.T @ hankel))
-        fresh = (series / weights + mean)[missing]
-        moved = np.abs(fresh - out[missing]).max()
-        out[missing] = fresh
+        gram = hankel @ hankel.T
+        if scratch:
+            power, vectors = np.linalg.eigh(gram)
+            if basis is None:
+                power = power[::-1].clip(min=0)
+                total = power.sum()
+                keep = 1 if total == 0 else min(rank, int(np.searchsorted(np.cumsum(power) / total, energy)) + 1)
+            basis = vectors[:, ::-1][:, :keep]
+        else:
+            basis = np.linalg.qr(gram @ (gram @ basis))[0]
+        here = out[gaps]
+        fresh = rebuilt(basis, hankel)
+        move = fresh - here
+        moved = np.abs(move).max()
         if moved <= tolerance * scale:
-            return out, True
+            out[gaps] = fresh
+            if scratch:
+                return out, True
+            scratch = True
+            before = None
+            continue
+        scratch = False
+        size = float(np.linalg.norm(move))
+        if before is not None and size < 2 * before[2]:
+            turn = move - before[1]
+            further = (before[0] - fresh) * (float(turn @ move) / max(float(turn @ turn), 1e-300))
+            # no further than TRUST moves at once: there are other sets of entries that no repetition moves, beyond the ones that this way leads to
+            ahead = fresh + further * min(1.0, TRUST * size / max(float(np.linalg.norm(further)), 1e-300))
+        else:
+            ahead = fresh
+        before, fresh = (fresh, move, size), ahead
+        out[gaps] = fresh
     return out, False
 
 

@@ -84,3 +84,37 @@ def test_minutes_of_a_series_that_does_not_settle_are_marked(monkeypatch):
     batch = pd.DataFrame({"symbol": ["A"], "day": [DAY], "minutes": [at], "closes": [x[at]], "volumes": [np.full(len(at), 5.0)]})
     (got,) = grid._fill([batch])
     assert (got.unsettled == missing).all() and not got.volume_unsettled.any()
+
+
+def plainly(values, missing, window=60, rank=6, energy=0.95, tolerance=1e-7):
+    """The method word by word: Hankel matrix, leading singular vectors, mean of the antidiagonals, again until nothing moves."""
+    out, at = values.copy(), np.arange(len(values))
+    out[missing] = np.interp(at[missing], at[~missing], values[~missing])
+    n, mean, keep = len(out), None, None
+    rows = max(2, min(window, n // 3))
+    mean = out.mean()
+    for _ in range(50_000):
+        h = np.array([[out[i + j] - mean for j in range(n - rows + 1)] for i in range(rows)])
+        u, power, v = np.linalg.svd(h, full_matrices=False)
+        if keep is None:
+            keep = min(rank, int(np.searchsorted(np.cumsum(power**2) / (power**2).sum(), energy)) + 1)
+        r = (u[:, :keep] * power[:keep]) @ v[:keep]
+        fresh = np.array([np.mean(np.fliplr(r).diagonal(n - rows - i)) for i in range(n)]) + mean
+        moved = np.abs(fresh - out)[missing].max()
+        out[missing] = fresh[missing]
+        if moved <= tolerance * values[~missing].std():
+            break
+    return out
+
+
+def test_filled_values_are_those_of_the_plain_repetition():
+    rng = np.random.default_rng(1)
+    for seed in range(3):
+        t = np.arange(90)
+        x = 50 + 3 * np.sin(2 * np.pi * t / (9 + seed)) + 0.1 * rng.normal(size=90)
+        missing = np.zeros(90, bool)
+        missing[rng.choice(np.arange(5, 85), 12, replace=False)] = True
+        got, settled = grid.settle(np.where(missing, 0.0, x), missing, window=20)
+        want = plainly(np.where(missing, 0.0, x), missing, window=20)
+        # within the tolerance of an entry that no longer moves, over what the repetitions left could still add
+        assert settled and np.abs(got - want)[missing].max() < 0.01 * x[~missing].std()
