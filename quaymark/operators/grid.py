@@ -28,7 +28,7 @@ from quaymark.session import heavy_partitions
 GRID = "symbol string, day date, minute_of_day int, Close double, Volume double, filled boolean, volume_filled boolean, unsettled boolean, volume_unsettled boolean"
 #: Repetitions after which a series counts as one that doesn't settle.
 ROUNDS = 20_000
-#: So many moves of a repetition may be taken at once.
+#: So many moves of a repetition may be taken at once, as many more after every hundred repetitions: entries that settle late move ever less.
 TRUST = 3.0
 
 
@@ -68,7 +68,7 @@ def settle(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int
 
     basis, scratch = None, True
     before: tuple[np.ndarray, np.ndarray, float] | None = None
-    for _ in range(rounds):
+    for round_no in range(rounds):
         hankel = np.lib.stride_tricks.sliding_window_view(out - mean, cols)
         gram = hankel @ hankel.T
         if scratch:
@@ -97,7 +97,7 @@ def settle(values: np.ndarray, missing: np.ndarray, window: int = 60, rank: int
             turn = move - before[1]
             further = (before[0] - fresh) * (float(turn @ move) / max(float(turn @ turn), 1e-300))
             # no further than TRUST moves at once: there are other sets of entries that no repetition moves, beyond the ones that this way leads to
-            ahead = fresh + further * min(1.0, TRUST * size / max(float(np.linalg.norm(further)), 1e-300))
+            ahead = fresh + further * min(1.0, TRUST * (1 + round_no / 100) * size / max(float(np.linalg.norm(further)), 1e-300))
         else:
             ahead = fresh
         before, fresh = (fresh, move, size), ahead
