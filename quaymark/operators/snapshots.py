@@ -14,14 +14,18 @@ read, so extra columns of any name do no harm.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaymark.functions.text import canonical, canonical_symbol, fingerprint, spelled
-from quaymark.session import written
-from quaymark.sources.sinks import VersionedTable
+from quaymark.session import cleaned, scratch_path, written
+from quaymark.sources.sinks import Pointer
 
 OPEN_END = "9999-12-31"
 
@@ -120,26 +124,6 @@ def rebuild_affected(chains: DataFrame, raw: DataFrame, touched: DataFrame, days
     return chains.join(touched, "sym", "left_anti").unionByName(fresh)
 
 
-def apply_updates(chains: DataFrame, raw: DataFrame, updates: DataFrame, known_days: DataFrame) -> DataFrame:
-    """History after late or corrected rows came in.
-
-    ``raw`` holds all standing rows, the updates included; ``updates`` the keys and
-    dates of what came late (``sym``, ``snap``); ``known_days`` the snapshot dates the
-    chains were built on. An entity is touched when it has an update or when a date
-    that was not known falls inside one of its versions, as absence there ends it. New
-    dates are one array of days, bounded like the calendar.
-    """
-    days = calendar(raw)
-    fresh_days = days.select("snap").join(F.broadcast(known_days.select("snap")), "snap", "left_anti")
-    # dates only, bounded by the calendar, and none in most runs
-    unknown = sorted(r.snap for r in fresh_days.collect())
-    touched = updates.select("sym")
-    if unknown:
-        inside = F.exists(F.array(*map(F.lit, unknown)), lambda d: (d > F.col("valid_from")) & (d < F.col("valid_to")))
-        touched = touched.unionByName(chains.filter(inside).select("sym"))
-    return rebuild_affected(chains, raw, touched, days)
-
-
 def found_changes(listings: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """``snapshot_changes`` over several listings: ``asset_type``, ``snapshot_date``, ``symbol``, ``change``."""
     parts = [latest_rows(df, attributes).withColumn("asset_type", F.lit(kind)) for kind, (df, attributes) in listings.items()]
@@ -152,57 +136,137 @@ def found_changes(listings: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataF
 def history(df: DataFrame, attributes: Sequence[str], snapshot: str = "snapshot_date", loaded: str = "loaded_at") -> DataFrame:
     """Full history of a listing by affected-chain rebuild.
 
-    Chains are first built from what arrived while its snapshot was the current one;
-    rows that arrived once a later snapshot was there are the late updates, and only
-    the entities they touch are rebuilt, from all their rows. Columns: ``symbol``, the
+    What arrived while its snapshot was the current one is the first delivery to a ``HistoryStore``, what
+    arrived once a later snapshot was there the second one: late updates, for which only
+    the entities they touch are rebuilt and their chains replaced. Columns: ``symbol``, the
     attributes, ``valid_from``, ``valid_to`` (dates).
     """
-    keyed = df.select(
-        F.col(f"`{snapshot}`").alias("snap"), canonical_symbol(F.col("symbol")).alias("sym"), F.to_date(F.col(f"`{loaded}`")).alias("arrived"), F.col(f"`{loaded}`").alias("at"), *[f"`{a}`" for a in attributes]
-    ).filter("snap IS NOT NULL AND sym IS NOT NULL")
-    days = calendar(keyed)
-    marked = keyed.join(F.broadcast(days.select("snap", "next_snap")), "snap")
-    late = F.coalesce(F.col("arrived") >= F.col("next_snap"), F.lit(False))
-    row = _ranked(marked, attributes, "at", True)
-    # both standings of a key in one aggregation, written once as four plans read them
-    standing = written(
-        marked.select("snap", "sym", late.alias("late"), row.alias("row")).groupBy("snap", "sym").agg(F.max("row").alias("all"), F.max(F.when(~F.col("late"), F.col("row"))).alias("prompt"), F.max("late").alias("late")),
-        "standing",
-    )
-    on_time = standing.filter("prompt IS NOT NULL").select("snap", "sym", "prompt.h", "prompt.vals")
-    everything = standing.select("snap", "sym", "all.h", "all.vals")
-    known = calendar(on_time)
-    chains = apply_updates(build_chains(on_time, known), everything, standing.filter("late").select("sym", "snap"), known)
-    return chains.select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in attributes], "valid_from", "valid_to")
+    spark = df.sparkSession
+    keyed = df.select(F.col(f"`{snapshot}`").alias("snapshot_date"), "symbol", F.col(f"`{loaded}`").alias("loaded_at"), *[f"`{a}`" for a in attributes])
+    days = calendar(df.select(F.col(f"`{snapshot}`").alias("snap"), canonical_symbol(F.col("symbol")).alias("sym")).filter("snap IS NOT NULL AND sym IS NOT NULL"))
+    late = F.coalesce(F.to_date("loaded_at") >= F.col("next_snap"), F.lit(False))
+    marked = keyed.join(F.broadcast(days.select(F.col("snap").alias("snapshot_date"), "next_snap")), "snapshot_date").withColumn("__late", late).drop("next_snap")
+    store = HistoryStore(spark, scratch_path(spark, "history"), attributes)
+    store.deliver(marked.filter("NOT __late"), 1)
+    store.deliver(marked.filter("__late"), 2)
+    return store.read()
 
 
 class HistoryStore:
     """History of a listing, kept on deliveries of any snapshot in any order.
 
-    A delivery is kept as it came, under its own number; then the chains of the entities it
-    touches are rebuilt from all their deliveries, and the new state of the table replaces the old one at once. A
-    delivery given again under its number changes nothing. Readers keep the version they opened.
+    Standing rows are kept by delivery number, chains in ``buckets`` by a hash of the entity, versions that have
+    ended apart from those still open. A small pointer file names the folders in force and is renamed into place,
+    so a delivery takes effect at once or not at all, and readers keep what they opened.
+
+    * An ordinary delivery, all of it later than any snapshot known, rebuilds nothing: per snapshot one join with the open
+      versions tells which end and which begin; what ended is added, only the open ones are written again.
+    * Any other delivery is late: the entities it touches (those it lists, those it listed when it was given
+      before under its number, and those with a version around a snapshot date that was not known) are looked up in
+      their buckets, all their intervals are rebuilt from their rows in all deliveries, and the buckets
+      they lie in are replaced; other buckets are neither read nor written.
     """
 
-    def __init__(self, spark: SparkSession, path: str, attributes: Sequence[str]):
-        self.spark, self.path, self.attributes = spark, path.rstrip("/"), list(attributes)
-        self.chains = VersionedTable(spark, f"{self.path}/chains")
-
-    def deliver(self, df: DataFrame, number: int) -> None:
-        """Take in rows with ``symbol``, ``snapshot_date``, ``loaded_at`` and the attributes."""
-        columns = ["symbol", "snapshot_date", "loaded_at", *self.attributes]
-        df.select(*[f"`{c}`" for c in columns]).write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/deliveries/number={number}")
-        raw = self.spark.read.parquet(f"{self.path}/deliveries").drop("number")
-        rows = latest_rows(raw, self.attributes, keep_values=True)
-        old = self.chains.read()
-        if old is None:
-            self.chains.replace(build_chains(rows, calendar(rows)))
-            return
-        others = self.spark.read.parquet(f"{self.path}/deliveries").filter(F.col("number") != number)
-        known = calendar(others.select(F.col("snapshot_date").alias("snap"), canonical_symbol("symbol").alias("sym")).filter("snap IS NOT NULL AND sym IS NOT NULL"))
-        updates = df.select(canonical_symbol(F.col("symbol")).alias("sym"), F.col("snapshot_date").alias("snap")).filter("sym IS NOT NULL AND snap IS NOT NULL")
-        self.chains.replace(apply_updates(old, rows, updates, known))
+    def __init__(self, spark: SparkSession, path: str, attributes: Sequence[str], buckets: int = 16, merge_after: int = 16):
+        self.spark, self.path, self.attributes, self.buckets, self.merge_after = spark, path.rstrip("/"), list(attributes), buckets, merge_after
+        self._pointer = Pointer(spark, self.path)
+
+    def current(self) -> dict:
+        """Folders in force: ``raw`` by delivery number, ``ended`` (lists) and ``open`` by bucket; ``schema`` of rows and chains."""
+        return json.loads(self._pointer.get() or '{"raw": {}, "ended": {}, "open": {}}')
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("sym"), F.lit(self.buckets)).cast("int").alias("bucket")
+
+    def _write(self, df: DataFrame) -> str:
+        folder = uuid.uuid4().hex
+        with cleaned(self.spark):
+            df.select("*", self._bucket()).repartition(self.buckets, "bucket").write.partitionBy("bucket").option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        return folder
+
+    def _read(self, folders: Sequence[str], schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of folders, of certain buckets only if given; folders that have no file of a bucket are passed over."""
+        paths = [f"{f}/bucket={b}" for f in folders for b in (range(self.buckets) if buckets is None else buckets)]
+        there = [f"{self.path}/{p}" for p in paths if self._pointer.exists(p)]
+        return self.spark.read.schema(schema).parquet(*there) if there else self.spark.createDataFrame([], schema)
+
+    def _chains(self, state: dict, which: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        schema = T.StructType.fromJson(state["chains"])
+        paths = [f"{f}/bucket={b}" for b, fs in state[which].items() if buckets is None or int(b) in buckets for f in ([fs] if isinstance(fs, str) else fs)]
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{p}" for p in paths]) if paths else self.spark.createDataFrame([], schema)
+
+    def _standing(self, raw: DataFrame) -> DataFrame:
+        best = raw.groupBy("snap", "sym").agg(F.max("row").alias("row"))
+        return best.select("snap", "sym", "row.h", "row.vals")
+
+    def _named(self, folder: str, buckets: Sequence[int]) -> list[int]:
+        return [b for b in buckets if self._pointer.exists(f"{folder}/bucket={b}")]
+
+    def _put(self, state: dict, chains: DataFrame, buckets: Sequence[int]) -> None:
+        """Replace all chains of some buckets."""
+        folder_ended, folder_open = (self._write(chains.filter(test)) for test in (f"valid_to <> DATE'{OPEN_END}'", f"valid_to = DATE'{OPEN_END}'"))
+        for b in buckets:
+            state["ended"].pop(str(b), None)
+            state["open"].pop(str(b), None)
+        state["ended"] |= {str(b): [folder_ended] for b in self._named(folder_ended, buckets)}
+        state["open"] |= {str(b): folder_open for b in self._named(folder_open, buckets)}
+
+    def deliver(self, df: DataFrame, number: int) -> int:
+        """Take in rows with ``symbol``, ``snapshot_date``, ``loaded_at`` and the attributes; gives the number of entities rebuilt."""
+        state = self.current()
+        rows = df.select(F.col("snapshot_date").alias("snap"), canonical_symbol(F.col("symbol")).alias("sym"), _ranked(df, self.attributes, "loaded_at", True).alias("row"))
+        rows = rows.filter("snap IS NOT NULL AND sym IS NOT NULL").groupBy("snap", "sym").agg(F.max("row").alias("row"))
+        schema = rows.schema
+        folder, before = self._write(rows), state["raw"].get(str(number))
+        fresh = self._read([folder], schema)
+        others = [f for n, f in state["raw"].items() if n != str(number)]
+        state["raw"][str(number)] = folder
+        # dates only, bounded by the calendar
+        dates = lambda part: sorted(r.snap for r in part.select("snap").distinct().collect())
+        known, came, everything = dates(self._read(others, schema)) if others else [], dates(fresh), self._read(list(state["raw"].values()), schema)
+        every, rebuilt = list(range(self.buckets)), 0
+        if not others:
+            chains = build_chains(self._standing(fresh), calendar(fresh))
+            state["chains"] = json.loads(chains.schema.json())
+            self._put(state, chains, every)
+        elif came and not before and known and came[0] > known[-1]:
+            for day in came:
+                self._append(state, self._standing(fresh.filter(F.col("snap") == F.lit(day))), day)
+        else:
+            touched = fresh.select("sym") if before is None else fresh.select("sym").unionByName(self._read([before], schema).select("sym"))
+            moved = sorted(set(came) ^ set(known)) if before else sorted(set(came) - set(known))
+            if moved:
+                around = F.exists(F.array(*map(F.lit, moved)), lambda d: (d > F.col("valid_from")) & (d <= F.col("valid_to")))
+                touched = touched.unionByName(self._chains(state, "ended").unionByName(self._chains(state, "open")).filter(around).select("sym"))
+            touched = written(touched.distinct(), "touched")
+            per_bucket = touched.groupBy(self._bucket()).count().collect()  # a row per bucket
+            hit, rebuilt = sorted(r.bucket for r in per_bucket), sum(r["count"] for r in per_bucket)
+            if hit:
+                old = self._chains(state, "ended", hit).unionByName(self._chains(state, "open", hit))
+                raw = self._read(list(state["raw"].values()), schema, hit).join(touched, "sym", "left_semi")
+                self._put(state, rebuild_affected(old, self._standing(raw), touched, calendar(everything)), hit)
+        self._pointer.set(json.dumps(state))
+        return rebuilt
+
+    def _append(self, state: dict, rows: DataFrame, day: dt.date) -> None:
+        """A snapshot later than all before: versions that go on stay as they are, others end, new ones begin."""
+        at, never = F.lit(day), F.lit(OPEN_END).cast("date")
+        j = self._chains(state, "open").withColumn("__on", F.lit(True)).join(rows.select("sym", F.col("h").alias("__h"), F.col("vals").alias("__vals")), "sym", "full_outer")
+        j = written(j, "appended")
+        goes_on = F.coalesce(F.col("h") == F.col("__h"), F.lit(False))
+        stays = j.filter(goes_on).select("sym", "vals", "h", "valid_from", "valid_to")
+        begins = j.filter(F.col("__h").isNotNull() & ~goes_on).select("sym", F.col("__vals").alias("vals"), F.col("__h").alias("h"), at.alias("valid_from"), never.alias("valid_to"))
+        ends = j.filter(F.col("__on") & ~goes_on).select("sym", "vals", "h", "valid_from", at.alias("valid_to"))
+        every = list(range(self.buckets))
+        if any(len(x) >= self.merge_after for x in state["ended"].values()):
+            ends, state["ended"] = ends.unionByName(self._chains(state, "ended")), {}
+        folder_ended, folder_open = self._write(ends), self._write(stays.unionByName(begins))
+        for b in self._named(folder_ended, every):
+            state["ended"].setdefault(str(b), []).append(folder_ended)
+        state["open"] = {str(b): folder_open for b in self._named(folder_open, every)}
 
     def read(self) -> DataFrame:
         """``symbol``, the attributes, ``valid_from``, ``valid_to``."""
-        return self.chains.read().select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in self.attributes], "valid_from", "valid_to")
+        state = self.current()
+        chains = self._chains(state, "ended").unionByName(self._chains(state, "open"))
+        return chains.select(F.col("sym").alias("symbol"), *[F.col(f"vals.`{a}`").alias(a) for a in self.attributes], "valid_from", "valid_to")

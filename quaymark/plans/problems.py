@@ -64,8 +64,10 @@ QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_grid, p3_found, p5_fou
 _CANON = "nullif(nullif(nullif(nullif(lower(trim({0}, ' ' || chr(9))), ''), 'none'), '.'), 'null')"
 
 
-def _standing(source: str, attributes: tuple[str, ...], texts: tuple[str, ...]) -> str:
+def _standing(source: str, attributes: tuple[str, ...], texts: tuple[str, ...], spelled: bool = False) -> str:
     canon = ", ".join(f"{_CANON.format(a)} AS {a}" if a in texts else a for a in attributes)
+    if spelled:  # as written beside the canonical form
+        canon += "".join(f", CASE WHEN {_CANON.format(a)} IS NOT NULL THEN trim({a}, ' ' || chr(9)) END AS w_{a}" for a in texts)
     return (
         f"SELECT * EXCLUDE (rn) FROM (SELECT snapshot_date, upper({_CANON.format('symbol')}) AS symbol, {canon}, "
         f"row_number() OVER (PARTITION BY snapshot_date, upper({_CANON.format('symbol')}) ORDER BY loaded_at DESC NULLS LAST) AS rn FROM {source} "
@@ -103,6 +105,13 @@ SQL = {
                FROM stocks_rows r JOIN stocks_days d USING (snapshot_date) WINDOW w AS (PARTITION BY symbol ORDER BY d.no)),
          v AS (SELECT *, sum(starts) OVER (PARTITION BY symbol ORDER BY no) AS run FROM r)
     SELECT symbol, strftime(min(snapshot_date), '%Y-%m-%d') AS valid_from, coalesce(strftime(arg_max(coalesce(next, DATE '9999-12-31'), no), '%Y-%m-%d')) AS valid_to FROM v GROUP BY symbol, run""",
+    "p6_history": f"""
+    WITH stocks_rows AS ({_standing('stocks', VERSION_ATTRIBUTES, ('name', 'sector', 'status'), spelled=True)}), stocks_days AS ({_DAYS.format('stocks')}),
+         r AS (SELECT r.*, d.no, d.next, CASE WHEN lag(d.no) OVER w = d.no - 1 {' '.join(f'AND lag({a}) OVER w IS NOT DISTINCT FROM {a}' for a in VERSION_ATTRIBUTES)} THEN 0 ELSE 1 END AS starts
+               FROM stocks_rows r JOIN stocks_days d USING (snapshot_date) WINDOW w AS (PARTITION BY symbol ORDER BY d.no)),
+         v AS (SELECT *, sum(starts) OVER (PARTITION BY symbol ORDER BY no) AS run FROM r)
+    SELECT symbol, arg_min(w_name, no) FILTER (WHERE w_name IS NOT NULL) AS name, arg_min(w_sector, no) FILTER (WHERE w_sector IS NOT NULL) AS sector, any_value(delistingDate) AS delistingDate,
+           arg_min(w_status, no) FILTER (WHERE w_status IS NOT NULL) AS status, min(snapshot_date) AS valid_from, arg_max(coalesce(next, DATE '9999-12-31'), no) AS valid_to FROM v GROUP BY symbol, run""",
     "p7_found": """
     WITH m AS (SELECT msg_id, nullif(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '/$', ''), '') AS u, upper(trim(ticker)) AS t, time_published AS tp FROM all_messages)
     SELECT msg_id FROM (SELECT msg_id, u, min(msg_id) OVER (PARTITION BY u, t, tp) AS lowest FROM m WHERE u IS NOT NULL) WHERE msg_id > lowest""",

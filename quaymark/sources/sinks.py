@@ -9,23 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-class VersionedTable:
-    """A table that is replaced as a whole: a version is written beside the last one, then a pointer file is renamed.
-
-    A new state may be computed from the current one, as readers keep the version they
-    opened, and a run that breaks off changes nothing.
-    """
+class Pointer:
+    """A small text file that says what is in force, replaced by a rename, so that readers see the old or the new one and never a part."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
         self._jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
 
-    def _path(self, name: str):
+    def _at(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def version(self) -> str | None:
-        at = self._path("CURRENT")
+    def get(self) -> str | None:
+        at = self._at("CURRENT")
         fs = at.getFileSystem(self._conf)
         if not fs.exists(at):
             return None
@@ -35,6 +31,34 @@ class VersionedTable:
         finally:
             stream.close()
 
+    def set(self, text: str) -> None:
+        fresh = self._at(f"CURRENT.{uuid.uuid4().hex}")
+        out = fresh.getFileSystem(self._conf).create(fresh, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), self._conf).rename(fresh, self._at("CURRENT"), options)
+
+    def exists(self, name: str) -> bool:
+        at = self._at(name)
+        return at.getFileSystem(self._conf).exists(at)
+
+
+class VersionedTable:
+    """A table that is replaced as a whole: a version is written beside the last one, then a pointer file is renamed.
+
+    A new state may be computed from the current one, as readers keep the version they
+    opened, and a run that breaks off changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self._pointer = spark, path.rstrip("/"), Pointer(spark, path)
+
+    def version(self) -> str | None:
+        return self._pointer.get()
+
     def read(self) -> DataFrame | None:
         v = self.version()
         return None if v is None else self.spark.read.parquet(f"{self.path}/{v}")
@@ -42,14 +66,7 @@ class VersionedTable:
     def replace(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         v = uuid.uuid4().hex
         df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(f"{self.path}/{v}")
-        fresh = self._path(f"CURRENT.{v}")
-        out = fresh.getFileSystem(self._conf).create(fresh, True)
-        out.write(bytearray(v.encode()))
-        out.close()
-        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
-        options = self.spark.sparkContext._gateway.new_array(rename, 1)
-        options[0] = rename.OVERWRITE
-        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), self._conf).rename(fresh, self._path("CURRENT"), options)
+        self._pointer.set(v)
 
 
 def append_issues(issues: DataFrame, path: str) -> None:

@@ -106,7 +106,7 @@ def test_store_takes_deliveries_in_any_order(spark, tmp_path):
     attributes = ("name", "sector", "delistingDate", "status")
     rows = [row(day, s, name=rng.choice("xy")) for s in "ABCDE" for day in range(4) if rng.random() < 0.7]
     corrected = [row(day, "A", name="z", at=dt.datetime(2024, 5, 1)) for day in (1, 2)]
-    store = snapshots.HistoryStore(spark, f"file://{tmp_path}/h", attributes)
+    store = snapshots.HistoryStore(spark, f"file://{tmp_path}/h", attributes, buckets=3)
     seen = []
     for number, part in enumerate(([r for r in rows if r[0] in (D[0], D[2])], [r for r in rows if r[0] == D[3]], [r for r in rows if r[0] == D[1]], corrected)):
         seen += part
@@ -114,3 +114,25 @@ def test_store_takes_deliveries_in_any_order(spark, tmp_path):
         assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == brute_history(seen)
     store.deliver(spark.createDataFrame(corrected, SCHEMA), 3)
     assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == brute_history(seen)
+    # given again under its number with other rows: what it no longer lists is rebuilt too
+    store.deliver(spark.createDataFrame(corrected[:1], SCHEMA), 3)
+    assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == brute_history([*rows, *corrected[:1]])
+
+
+def test_ordinary_deliveries_rebuild_nothing_and_late_ones_only_what_they_touch(spark, tmp_path):
+    symbols = [f"S{i}" for i in range(40)]
+    store = snapshots.HistoryStore(spark, f"file://{tmp_path}/h", ("name",), buckets=4, merge_after=2)
+    rows = [row(0, s, name="x") for s in symbols]
+    assert store.deliver(spark.createDataFrame(rows, SCHEMA), 0) == 0
+    for day in (1, 2, 3):
+        part = [row(day, s, name="y" if (k + day) % 7 == 0 else "x") for k, s in enumerate(symbols) if k % 11 != day]
+        rows += part
+        assert store.deliver(spark.createDataFrame(part, SCHEMA), day) == 0
+    before = store.current()
+    late = [row(1, "S1", name="z", at=dt.datetime(2024, 5, 1)), row(2, "S9", name="z", at=dt.datetime(2024, 5, 1))]
+    rows += late
+    assert store.deliver(spark.createDataFrame(late, SCHEMA), 4) == 2
+    after = store.current()
+    assert sum(before["open"].get(b) != after["open"].get(b) for b in set(before["open"]) | set(after["open"])) <= 2
+    want = [(s, a, b) for s, a, b in brute_history(rows)]
+    assert sorted((r.symbol, r.valid_from, r.valid_to) for r in store.read().collect()) == want
