@@ -84,6 +84,17 @@ def normalised(c: Column | str, mapping: Mapping[str, str], other: str = "Other"
     return F.coalesce(F.element_at(pairs, F.trim(_col(c))), F.lit(other))
 
 
+def thousands(c: Column | str) -> Column:
+    """A whole number with thousands set apart by commas; ``n/a`` for null."""
+    return F.coalesce(F.format_number(_col(c), 0), F.lit("n/a"))
+
+
+def signed(c: Column | str) -> Column:
+    """As ``thousands``, with its sign; zero is positive."""
+    c = _col(c)
+    return F.when(c.isNull(), "n/a").otherwise(F.concat(F.when(c >= 0, "+").otherwise(""), F.format_number(c, 0)))
+
+
 def issue_list(checks: Sequence[tuple[str, Column]]) -> Column:
     """Names of the checks that are true, joined by commas; null when none is."""
     text = F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in checks])

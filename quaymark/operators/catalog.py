@@ -60,6 +60,61 @@ def merge_listing(old: DataFrame, fresh: DataFrame, other_active: DataFrame, tod
     return j.select(key, F.least("o_ipo", "f_ipo").alias("ipo"), delisting.alias("delisting"), status.alias("status"))
 
 
+def active_collisions(first: DataFrame, second: DataFrame, key: str = "symbol", status: str = "status") -> DataFrame:
+    """Keys that both listings hold as Active."""
+    active = lambda df: df.filter(F.lower(F.trim(status)) == "active").select(key)
+    return active(first).intersect(active(second))
+
+
+def with_sector(catalog: DataFrame, lookup: DataFrame, other: str | None = None, key: str = "symbol") -> DataFrame:
+    """``catalog`` with missing sectors filled from ``lookup``, then from ``other``. A key looked up twice takes its first sector by name."""
+    found = lookup.groupBy(key).agg(F.min("sector").alias("__sector"))
+    filled = F.coalesce("sector", "__sector", *([F.lit(other)] if other else []))
+    return catalog.join(found, key, "left").withColumn("sector", filled).drop("__sector")
+
+
+def initial_catalog(first: DataFrame, second: DataFrame | None, lookup: DataFrame, key: str = "symbol") -> DataFrame:
+    """First state of a catalog with sectors: the preferred source, what only the other lists, and sectors looked up where neither has one."""
+    both = first if second is None else preferred_source(first, second, key)
+    return with_sector(both, lookup, key=key)
+
+
+def carried(old: DataFrame, fresh: DataFrame, columns: Sequence[str], key: str = "symbol") -> DataFrame:
+    """Descriptive columns of every key on either side: as the last state has them, as listed for added keys."""
+    o = old.select(key, F.struct(*columns).alias("__o"))
+    f = fresh.select(key, F.struct(*columns).alias("__f"))
+    kept = F.coalesce("__o", "__f")
+    return o.join(f, key, "full_outer").select(key, *[kept.getField(c).alias(c) for c in columns])
+
+
+def update_catalog(old: DataFrame, fresh: DataFrame, other_active: DataFrame, today: Column, lookup: DataFrame | None = None, columns: Sequence[str] = ("name",), key: str = "symbol") -> DataFrame:
+    """Next state of a catalog with its descriptive columns: ``merge_listing`` beside what is ``carried``.
+
+    With ``lookup`` added keys get their sector from it, ``Other`` where it has none.
+    """
+    merged = merge_listing(old, fresh, other_active, today, key)
+    texts = carried(old, fresh, columns, key)
+    if lookup is not None:
+        added = with_sector(texts.join(old.select(key), key, "left_anti"), lookup, "Other", key)
+        texts = texts.join(old.select(key), key, "left_semi").unionByName(added)
+    return texts.join(merged, key)
+
+
+def trimmed(catalog: DataFrame, dependent: DataFrame, mandatory: DataFrame, k: int, seed: str, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
+    """The mandatory keys and ``k`` others by the rank of a hash, and the rows of a dependent table that belong to them."""
+    rank = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
+    drawn = catalog.join(mandatory.select(key), key, "left_anti").select(key, rank.alias("__h")).orderBy("__h", key).limit(k).select(key)
+    kept = catalog.join(mandatory.select(key).unionByName(drawn).distinct(), key, "left_semi")
+    return kept, dependent.join(kept.select(key), key, "left_semi")
+
+
+def strided(df: DataFrame, order: str, step: int, k: int) -> DataFrame:
+    """Every ``step``-th row in order, the first ``k`` of them; only the first ``step * k`` rows travel."""
+    few = df.orderBy(order).limit(step * k)
+    nth = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(order))
+    return few.withColumn("__n", nth).filter((F.col("__n") - 1) % step == 0).drop("__n")
+
+
 def merge_simple(old: DataFrame, fresh: DataFrame, today: Column, key: str = "symbol", grace_days: int = 30) -> DataFrame:
     """As ``merge_listing`` for lists of symbols only: any status ends after the grace period, and a return clears the date."""
     o = old.select(key, F.col("delisting").alias("o_del"), F.col("status").alias("o_st"), F.lit(True).alias("o_in"))

@@ -62,6 +62,25 @@ def retry_plan(issues: DataFrame, cells: DataFrame, day: Column, previous: Colum
     return recent.unionByName(typed).distinct()
 
 
+def full_rerun(issues: DataFrame, day: Column, previous: Column, folder: Column) -> DataFrame:
+    """One row ``full_rerun``: whether the window holds an issue of the news feed as a whole, which is then pulled again entirely."""
+    hit = (day > previous) & (day <= folder) & (F.col("symbol") == "GLOBAL") & (F.col("endpoint") == "sentiment")
+    return issues.agg(F.coalesce(F.max(hit), F.lit(False)).alias("full_rerun"))
+
+
+def skipped_of(report: DataFrame, registry: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rows of a report whose endpoint the registry does not have for their asset type: they are kept, not replayed."""
+    known = F.lit(False)
+    for kind, endpoints in registry.items():
+        known = known | ((F.col("asset_type") == kind) & F.col("endpoint").isin(*endpoints))
+    return report.filter(~F.coalesce(known, F.lit(False)))
+
+
+def replace_endpoint(report: DataFrame, endpoint: str, fresh: DataFrame) -> DataFrame:
+    """The report with all rows of one endpoint replaced."""
+    return report.filter(~F.col("endpoint").eqNullSafe(F.lit(endpoint))).unionByName(fresh)
+
+
 def merge_report(report: DataFrame, retried: DataFrame, fresh: DataFrame) -> DataFrame:
     """The report without the rows of retried triples, and the fresh rows."""
     return report.join(retried.select("symbol", "asset_type", "endpoint").distinct(), ["symbol", "asset_type", "endpoint"], "left_anti").unionByName(fresh)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,33 @@ def issue_rollup(issues: DataFrame, by: Sequence[str]) -> DataFrame:
     return rolled.select(*[F.coalesce(c, F.lit("ALL")).alias(c) for c in by], "n")
 
 
+def status_rollup(df: DataFrame, status: str, known: Sequence[str]) -> DataFrame:
+    """One row: ``total``, a count per known status in lower case, and ``other_status`` for the rest, null included."""
+    s = F.col(status)
+    return df.agg(F.count("*").alias("total"), *[F.count_if(s == k).alias(k.lower()) for k in known], F.count_if(~F.coalesce(s.isin(*known), F.lit(False))).alias("other_status"))
+
+
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """``catalog`` and ``n`` of every table."""
+    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("catalog"), "n") for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def mean_days(df: DataFrame, by: str, day: Column, today: Column, digits: int = 2) -> DataFrame:
+    """Mean days from ``today`` to the days that are not past, per ``by``."""
+    return df.groupBy(by).agg(F.round(F.avg(F.when(day >= today, F.datediff(day, today))), digits).alias("mean_days"))
+
+
+def fund_coverage(holdings: DataFrame, stats: DataFrame) -> DataFrame:
+    """Per fund its holdings, how many of them have figures, and the fewest rows among those. ``holdings`` has ``fund`` and ``symbol``, ``stats`` ``symbol`` and ``n``."""
+    return holdings.join(stats, "symbol", "left").groupBy("fund").agg(F.count("*").alias("holdings"), F.count("n").alias("covered"), F.min("n").alias("least_rows"))
+
+
+def file_digests(spark, path: str) -> DataFrame:
+    """``file``, ``bytes`` and ``md5`` of the files of a folder: what ``tree_diff`` compares."""
+    return spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), F.col("length").alias("bytes"), F.md5("content").alias("md5"))
+
+
 def probe(series: DataFrame, key: str, day: str, values: Sequence[str], least_rows: int, most_null: float = 0.01) -> DataFrame:
     """Rows, last day and share of nulls per key, and why a series fails, reasons joined by ``; ``."""
     a = series.groupBy(key).agg(F.count("*").alias("n_rows"), F.max(day).alias("last"), *[F.round(F.count_if(F.col(v).isNull()) / F.count("*"), 6).alias(f"null_{v}") for v in values])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,12 @@ def corporate_actions(raw: DataFrame, split_adjusted: DataFrame, fully_adjusted:
     return s.select(*k, F.col("c").alias("Close"), F.round(split, digits).alias("SplitCoefficient"), F.round(dividend, digits).alias("DividendAmount"))
 
 
+def listed_months(df: DataFrame, key: str, first: Column, last: Column) -> DataFrame:
+    """Months from the first to the last day of each row, both counted, summed per key; rows the wrong way round count none."""
+    months = F.months_between(F.trunc(last, "month"), F.trunc(first, "month")).cast("bigint") + 1
+    return df.groupBy(key).agg(F.sum(F.greatest(F.coalesce(months, F.lit(0)), F.lit(0))).cast("bigint").alias("months"))
+
+
 def split_adjust(df: DataFrame) -> DataFrame:
     """``sa_close``: Close over the product of all later splits of the symbol (the inverse of the above)."""
     later = Window.partitionBy("symbol").orderBy(F.col("Date").desc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quaymark.plans import problems, reference
+from quaymark.plans import problems, reference, vendor
 
-_MODULES = (reference, problems)
+_MODULES = (reference, vendor, problems)
 
 
 def queries() -> dict:

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.functions import expr
 from quaymark.operators import catalog, clean, coverage, monitor, prices, windows
+from quaymark.schemas import SECTORS
 from quaymark.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,21 +169,6 @@ def catalog_merge_simple(spark, data):
     return catalog.merge_simple(old, new, _day("1997-12-01"))
 
 
-@query("""SELECT p_partkey, coalesce(CASE trim(split_part(p_type, ' ', 1)) WHEN 'STANDARD' THEN 'Utilities' WHEN 'SMALL' THEN 'Industrials' WHEN 'MEDIUM' THEN 'Industrials' WHEN 'ECONOMY' THEN 'Energy' END, 'Other') AS sector FROM part""")
-def sector_normalize(spark, data):
-    mapping = {"STANDARD": "Utilities", "SMALL": "Industrials", "MEDIUM": "Industrials", "ECONOMY": "Energy"}
-    return table(spark, data, "part").select("p_partkey", expr.normalised(F.split_part("p_type", F.lit(" "), F.lit(1)), mapping).alias("sector"))
-
-
-@query("""SELECT upper(trim(symbol, ' ' || chr(9))) AS symbol FROM stocks WHERE lower(trim(status, ' ' || chr(9))) = 'active' AND symbol IS NOT NULL
-          INTERSECT SELECT upper(trim(symbol, ' ' || chr(9))) FROM etfs WHERE lower(trim(status, ' ' || chr(9))) = 'active' AND symbol IS NOT NULL""")
-def type_collision(spark, data):
-    def active(name):
-        return table(spark, data, name).filter("lower(btrim(status, ' \\t')) = 'active' AND symbol IS NOT NULL").select(F.upper(F.btrim("symbol", F.lit(" \t"))).alias("symbol"))
-
-    return active("stocks").intersect(active("etfs"))
-
-
 @query("""WITH u AS (SELECT c_custkey AS k, 0 AS p FROM customer WHERE c_nationkey < 10 UNION ALL SELECT s_suppkey, 1 FROM supplier UNION ALL SELECT p_partkey, 2 FROM part)
           SELECT k AS symbol, CASE min(p) WHEN 0 THEN 'stocks' WHEN 1 THEN 'etfs' ELSE 'forex' END AS asset_type FROM u GROUP BY k""")
 def lookup_priority(spark, data):
@@ -197,18 +184,6 @@ _NUM_SQL = f"CASE WHEN regexp_matches({{0}}, '{_NUM}') THEN TRY_CAST(trim({{0}})
 _CLEAN_SQL = "CASE WHEN {0} IN ('None', '', '.') THEN NULL ELSE {0} END"
 
 
-@query(f"""SELECT rec_id, {_NUM_SQL.format('overall_sentiment_score')} AS score, {_CLEAN_SQL.format('overall_sentiment_score')} IS NOT NULL AND {_NUM_SQL.format('overall_sentiment_score')} IS NULL AS issue FROM sentiment""")
-def lenient_cast_issues(spark, data):
-    raw = expr.without_sentinels("overall_sentiment_score")
-    n = expr.number("overall_sentiment_score")
-    return table(spark, data, "sentiment").select("rec_id", n.alias("score"), expr.cast_issue(raw, n).alias("issue"))
-
-
-@query(f"SELECT rec_id, {_NUM_SQL.format('Close')} AS close, {_NUM_SQL.format('Volume')} AS volume FROM prices_raw WHERE {_NUM_SQL.format('Close')} IS NOT NULL AND {_NUM_SQL.format('Volume')} IS NOT NULL")
-def bad_row_skip(spark, data):
-    return table(spark, data, "prices_raw").select("rec_id", expr.number("Close").alias("close"), expr.number("Volume").alias("volume")).filter("close IS NOT NULL AND volume IS NOT NULL")
-
-
 @query("SELECT rec_id, TRY_CAST(nullif(regexp_extract(replace(time_published, chr(10), ''), '\\d{4}-\\d{2}-\\d{2}'), '') AS DATE) AS day FROM sentiment")
 def lax_date(spark, data):
     return table(spark, data, "sentiment").select("rec_id", expr.lax_date("time_published").alias("day"))
@@ -236,6 +211,26 @@ def file_names(spark, data):
     return p.withColumn("symbol", expr.symbol_of_file("file"))
 
 
+@query("""SELECT msg_id FROM (SELECT msg_id, row_number() OVER (PARTITION BY url, ticker ORDER BY time_published DESC, msg_id) AS rn FROM all_messages WHERE ticker IS NOT NULL) WHERE rn = 1""")
+def news_dedupe(spark, data):
+    m = table(spark, data, "all_messages").select("msg_id", "url", "ticker", "time_published").filter("ticker IS NOT NULL")
+    return windows.latest_of(m, ["url", "ticker"], [F.col("time_published").desc(), F.col("msg_id")]).select("msg_id")
+
+
+@query("""SELECT DISTINCT c_custkey AS symbol FROM customer JOIN supplier ON c_custkey = s_suppkey WHERE c_nationkey % 3 > 0 AND s_nationkey % 2 = 0""")
+def type_collision(spark, data):
+    status = lambda test: F.when(test, "Active").otherwise("Delisted").alias("status")
+    c = table(spark, data, "customer").select(F.col("c_custkey").alias("symbol"), status(F.col("c_nationkey") % 3 > 0))
+    return catalog.active_collisions(c, table(spark, data, "supplier").select(F.col("s_suppkey").alias("symbol"), status(F.col("s_nationkey") % 2 == 0)))
+
+
+@query("SELECT rec_id, coalesce(CASE upper(trim(ticker)) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SECTORS.items() if k.isupper()) + " END, 'Other') AS plain, coalesce(CASE mod(rec_id, 15) " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(SECTORS.values())) + " END, 'Other') AS sector FROM sentiment")
+def sector_normalize(spark, data):
+    names = F.array(*[F.lit(f" {k} ") for k in SECTORS])
+    sent = F.get(names, (F.col("rec_id") % 15).cast("int"))
+    return table(spark, data, "sentiment").select("rec_id", expr.normalised(F.upper("ticker"), SECTORS).alias("plain"), expr.normalised(sent, SECTORS).alias("sector"))
+
+
 # -- prices ----------------------------------------------------------------------------
 
 _SERIES = """s AS (SELECT l_partkey AS symbol, CAST(l_shipdate AS DATE) AS Date, max(l_extendedprice) AS c, max(l_suppkey) AS k, max(l_discount) AS off FROM lineitem GROUP BY 1, 2),
@@ -266,12 +261,6 @@ def dedupe_ordered(spark, data):
     return windows.latest_of(_events(spark, data).select("user_id", "event_type", "day", "event_id"), ["user_id", "event_type", "day"], [F.col("event_id").desc()])
 
 
-@query("""SELECT msg_id FROM (SELECT msg_id, row_number() OVER (PARTITION BY url, ticker ORDER BY time_published DESC, msg_id) AS rn FROM all_messages WHERE url IS NOT NULL AND ticker IS NOT NULL) WHERE rn = 1""")
-def news_dedupe(spark, data):
-    m = table(spark, data, "all_messages").select("msg_id", "url", "ticker", "time_published").filter("url IS NOT NULL AND ticker IS NOT NULL")
-    return windows.latest_of(m, ["url", "ticker"], [F.col("time_published").desc(), F.col("msg_id")]).select("msg_id")
-
-
 # -- set-like joins ---------------------------------------------------------------------
 
 
@@ -353,38 +342,14 @@ def retry_plan(spark, data):
     return coverage.retry_plan(issues.join(symbols, "symbol"), cells, F.col("day"), _day("2024-01-10"), _day("2024-01-12"), symbols)
 
 
-@query(f"WITH {_CELLS_SQL} SELECT e.event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM ce WHERE NOT ok AND ce.symbol = e.user_id AND ce.endpoint = e.event_type)")
-def skip_known_empty(spark, data):
-    cells = coverage.false_cells(_cells(spark, data)[3], _TYPES).select(F.col("symbol").alias("user_id"), F.col("endpoint").alias("event_type"))
-    return table(spark, data, "events").join(cells, ["user_id", "event_type"], "left_anti").select("event_id")
-
-
 # -- monitoring -------------------------------------------------------------------------
 
 
-@query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS other_status FROM orders")
-def status_rollup(spark, data):
-    s = F.col("o_orderstatus")
-    return table(spark, data, "orders").agg(F.count("*").alias("total"), F.count_if(s == "F").alias("f"), F.count_if(s == "O").alias("o"), F.count_if(~s.isin("F", "O")).alias("other_status"))
-
-
-@query("SELECT 'customer' AS catalog, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part")
-def count_only(spark, data):
-    a, b, c = (table(spark, data, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("catalog"), "n") for n in ("customer", "supplier", "part"))
-    return a.unionByName(b).unionByName(c)
-
-
 @query("""SELECT coalesce(issue_type, 'ALL') AS issue_type, coalesce(asset_type, 'ALL') AS asset_type, coalesce(endpoint, 'ALL') AS endpoint, count(*) AS n FROM ingestion_report GROUP BY ROLLUP (issue_type, asset_type, endpoint)""")
 def issue_rollup(spark, data):
     return monitor.issue_rollup(table(spark, data, "ingestion_report"), ["issue_type", "asset_type", "endpoint"])
 
 
-@query("SELECT o_orderpriority, round(avg(date_diff('day', DATE '2000-01-01', CAST(o_orderdate AS DATE))) FILTER (WHERE o_orderdate >= TIMESTAMP '2000-01-01'), 2) AS mean_days FROM orders GROUP BY 1")
-def calendar_rollup(spark, data):
-    d = F.to_date("o_orderdate")
-    return table(spark, data, "orders").groupBy("o_orderpriority").agg(F.round(F.avg(F.when(d >= _day("2000-01-01"), F.datediff(d, _day("2000-01-01")))), 2).alias("mean_days"))
-
-
 def _probe_sql(source: str, values: tuple[str, ...], least: int) -> str:
     ratios = ", ".join(f'round(count(*) FILTER (WHERE {v} IS NULL) / count(*), 6) AS "null_{v}"' for v in values)
     reasons = ", ".join(f"""CASE WHEN "null_{v}" >= 0.01 THEN '{v} has nulls' END""" for v in values)
@@ -402,15 +367,6 @@ def coverage_daily(spark, data):
     return monitor.probe(table(spark, data, "prices_daily"), "symbol", "Date", ("Close", "Volume"), 1)
 
 
-@query("""WITH h AS (SELECT l_orderkey AS fund, l_partkey AS symbol FROM lineitem), s AS (SELECT l_partkey AS symbol, count(*) AS n FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
-          SELECT fund, count(*) AS holdings, count(s.n) AS covered, min(s.n) AS least_rows FROM h LEFT JOIN s USING (symbol) GROUP BY fund""")
-def coverage_summary(spark, data):
-    li = table(spark, data, "lineitem")
-    held = li.groupBy(F.col("l_orderkey").alias("fund")).agg(F.collect_list("l_partkey").alias("holdings")).select("fund", F.explode("holdings").alias("symbol"))
-    stats = li.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).groupBy(F.col("l_partkey").alias("symbol")).agg(F.count("*").alias("n"))
-    return held.join(stats, "symbol", "left").groupBy("fund").agg(F.count("*").alias("holdings"), F.count("n").alias("covered"), F.min("n").alias("least_rows"))
-
-
 @query("""WITH e AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS expected FROM part GROUP BY 1), w AS (SELECT p_brand AS endpoint, count(DISTINCT p_partkey) AS written FROM part WHERE p_size > 10 GROUP BY 1)
           SELECT coalesce(e.endpoint, w.endpoint) AS endpoint, coalesce(expected, 0) AS expected, coalesce(written, 0) AS written, CASE WHEN coalesce(expected, 0) > 0 THEN round(coalesce(written, 0) / expected, 4) END AS written_ratio FROM e FULL JOIN w ON e.endpoint = w.endpoint""")
 def files_expected_ratio(spark, data):
@@ -428,6 +384,37 @@ def report_diff(spark, data):
     return monitor.metric_diff(half("day < '2024-01-15' AND event_type <> 'click'"), half("day >= '2024-01-15' AND event_type <> 'error'"), "event_type", "v")
 
 
+@query(f"WITH {_CELLS_SQL} SELECT e.event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM ce WHERE NOT ok AND ce.symbol = e.user_id AND ce.endpoint = e.event_type)")
+def skip_known_empty(spark, data):
+    matrix = _cells(spark, data)[3]
+    parts = [clean.known_empty(matrix, c) for c in _TYPES]
+    cells = reduce(DataFrame.unionByName, parts).select(F.col("symbol").alias("user_id"), F.col("endpoint").alias("event_type"))
+    return table(spark, data, "events").join(cells, ["user_id", "event_type"], "left_anti").select("event_id")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus IS NULL OR o_orderstatus NOT IN ('F', 'O')) AS other_status FROM orders")
+def status_rollup(spark, data):
+    return monitor.status_rollup(table(spark, data, "orders"), "o_orderstatus", ("F", "O"))
+
+
+@query("SELECT 'customer' AS catalog, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier UNION ALL SELECT 'part', count(*) FROM part")
+def count_only(spark, data):
+    return monitor.row_counts({n: table(spark, data, n) for n in ("customer", "supplier", "part")})
+
+
+@query("SELECT o_orderpriority, round(avg(date_diff('day', DATE '2000-01-01', CAST(o_orderdate AS DATE))) FILTER (WHERE o_orderdate >= TIMESTAMP '2000-01-01'), 2) AS mean_days FROM orders GROUP BY 1")
+def calendar_rollup(spark, data):
+    return monitor.mean_days(table(spark, data, "orders"), "o_orderpriority", F.to_date("o_orderdate"), _day("2000-01-01"))
+
+
+@query("""WITH h AS (SELECT l_orderkey AS fund, l_partkey AS symbol FROM lineitem), s AS (SELECT l_partkey AS symbol, count(*) AS n FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
+          SELECT fund, count(*) AS holdings, count(s.n) AS covered, min(s.n) AS least_rows FROM h LEFT JOIN s USING (symbol) GROUP BY fund""")
+def coverage_summary(spark, data):
+    li = table(spark, data, "lineitem")
+    stats = li.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).groupBy(F.col("l_partkey").alias("symbol")).agg(F.count("*").alias("n"))
+    return monitor.fund_coverage(li.select(F.col("l_orderkey").alias("fund"), F.col("l_partkey").alias("symbol")), stats)
+
+
 # -- nested data ------------------------------------------------------------------------
 
 
@@ -439,39 +426,12 @@ def topic_pivot(spark, data):
     return a.select("article", *[expr.first_keyed(F.col("topics"), "topic", "score", t).alias(f"topic_{t.lower()}") for t in ("A", "N", "R")])
 
 
-@query("SELECT l_orderkey AS article, l_linenumber AS nth, l_partkey AS ticker, round(l_tax, 4) AS relevance FROM lineitem")
-def article_explode(spark, data):
-    packed = table(spark, data, "lineitem").groupBy(F.col("l_orderkey").alias("article")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("nth"), F.col("l_partkey").alias("ticker"), F.round("l_tax", 4).alias("relevance"))).alias("tickers"))
-    return packed.select("article", F.inline("tickers"))
-
-
-@query("""SELECT p_brand AS fund, sum(p_size) FILTER (WHERE p_type LIKE 'STANDARD%') AS standard, sum(p_size) FILTER (WHERE p_type LIKE 'ECONOMY%') AS economy,
-            sum(p_size) FILTER (WHERE p_type NOT LIKE 'STANDARD%' AND p_type NOT LIKE 'ECONOMY%') AS other FROM part GROUP BY 1""")
-def sector_pivot_other(spark, data):
-    t = F.split_part("p_type", F.lit(" "), F.lit(1))
-    size = lambda test: F.sum(F.when(test, F.col("p_size")))
-    return table(spark, data, "part").groupBy(F.col("p_brand").alias("fund")).agg(size(t == "STANDARD").alias("standard"), size(t == "ECONOMY").alias("economy"), size(~t.isin("STANDARD", "ECONOMY")).alias("other"))
-
-
-@query("""SELECT l_orderkey AS fund, count(*) FILTER (WHERE l_returnflag <> 'N') AS kept, nullif(string_agg(CASE WHEN l_returnflag <> 'N' THEN CAST(l_partkey AS VARCHAR) END, ';' ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR)), '') AS symbols FROM lineitem GROUP BY 1""")
-def holdings_array(spark, data):
-    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", F.when(F.col("l_returnflag") != "N", F.col("l_partkey").cast("string")).alias("symbol"))))
-    packed = table(spark, data, "lineitem").groupBy(F.col("l_orderkey").alias("fund")).agg(F.transform(F.filter(rows, lambda r: r["symbol"].isNotNull()), lambda r: r["symbol"]).alias("held"))
-    return packed.select("fund", F.size("held").cast("bigint").alias("kept"), F.nullif(F.array_join("held", ";"), F.lit("")).alias("symbols"))
-
-
 @query("SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1")
 def json_props(spark, data):
     k = F.from_json("props", "k bigint")["k"]
     return table(spark, data, "events").groupBy(k.alias("k")).agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 
-@query("SELECT event_id, CASE event_type WHEN 'view' THEN 'annual' ELSE 'quarterly' END AS period FROM events WHERE event_type IN ('view', 'click')")
-def horizon_split(spark, data):
-    period = F.when(F.col("event_type") == "view", "annual").when(F.col("event_type") == "click", "quarterly")
-    return table(spark, data, "events").select("event_id", period.alias("period")).filter("period IS NOT NULL")
-
-
 @query("""SELECT user_id, 'timezone_mismatch' AS issue, count(*) AS n FROM events WHERE event_type IN ('error', 'signup') GROUP BY 1""")
 def tz_mismatch(spark, data):
     zone = F.when(F.col("event_type").isin("error", "signup"), "UTC").otherwise("US/Eastern")

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from quaymark.functions import expr
 from quaymark.schemas import CALENDAR_CSV, COMMODITIES, INDICATORS, LISTING_CSV, TOPICS
 
+#: Fixed value: what the vendor's notes say where a plan does not cover an endpoint; asking again is no use.
+NOT_ENTITLED = "not yet entitled"
 #: Field names of the vendor's bars.
 BAR_FIELDS = {"Open": "1. open", "High": "2. high", "Low": "3. low", "Close": "4. close", "Volume": "5. volume"}
 DAILY_FIELDS = {"Open": "1. open", "High": "2. high", "Low": "3. low", "Close": "4. close", "Volume": "6. volume", "DividendAmount": "7. dividend amount", "SplitCoefficient": "8. split coefficient"}
@@ -41,12 +43,47 @@ def tolerant(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true").parquet(path)
 
 
+def file_status(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``file``, ``n_rows`` and ``status`` (``ok``, ``empty`` or ``unreadable``) of every file of a folder of Parquet files."""
+    listed = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "length")
+    rows = tolerant(spark, path, schema).select(F.col("_metadata.file_name").alias("file")).groupBy("file").agg(F.count("*").alias("n_rows"))
+    # a Parquet file starts and ends with its mark; content is read for files without rows only
+    whole = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", "[^/]+$", 0).alias("file"), "content").join(F.broadcast(rows.select("file")), "file", "left_anti")
+    marked = whole.select("file", (F.expr("substring(content, -4, 4)") == F.lit(b"PAR1")).alias("sound"))
+    status = F.when(F.col("n_rows").isNotNull(), "ok").when(F.col("sound"), "empty").otherwise("unreadable")
+    return listed.select("file").join(rows, "file", "left").join(marked, "file", "left").select("file", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), status.alias("status"))
+
+
 def text_csv(spark: SparkSession, path: str | list[str], **options: str) -> DataFrame:
     """A CSV with header, all text, header names trimmed."""
     df = spark.read.options(header="true", inferSchema="false", **options).csv(path)
     return df.toDF(*[c.strip() for c in df.columns])
 
 
+def daily_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Daily bars of a second vendor; the symbol comes from the file name, an unreadable date is null."""
+    raw = spark.read.options(header="true", inferSchema="false").csv(path).select("*", "_metadata.file_name")
+    df = raw.toDF(*[c.strip() for c in raw.columns])
+    symbol = F.url_decode(F.url_decode(F.regexp_extract("file_name", r"^(.+)_[^_]*\.csv$", 1)))
+    named = lambda c: c.lower() if c.lower() in df.columns else c
+    numbers = [expr.number(named(c)).cast("float").alias(c) for c in ("Open", "High", "Low", "Close", "Volume")]
+    return df.select(symbol.alias("symbol"), expr.lax_date(named("Date")).alias("Date"), *numbers)
+
+
+def located(symbols: DataFrame, files: DataFrame) -> DataFrame:
+    """Each symbol with its file, null where there is none; of several files of a symbol the first by name. ``files`` has ``file`` (names)."""
+    named = files.select(F.url_decode(F.regexp_extract("file", r"^(.+)_[^_]*\.csv$", 1)).alias("symbol"), "file").groupBy("symbol").agg(F.min("file").alias("file"))
+    return symbols.select("symbol").join(named, "symbol", "left")
+
+
+def check_headers(tables: Mapping[str, DataFrame], required: Sequence[str]) -> None:
+    """Raises one error that names every table and the columns it lacks."""
+    lacking = {name: missing_columns(df, required) for name, df in tables.items()}
+    wrong = [f"{name}: {', '.join(cols)}" for name, cols in lacking.items() if cols]
+    if wrong:
+        raise ValueError("missing columns in " + "; ".join(wrong))
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
@@ -92,7 +129,7 @@ def body_class(body: Column) -> Column:
     note = F.coalesce(F.element_at(parsed, "Note"), F.element_at(parsed, "Information"))
     return (
         F.when(parsed.isNull(), "structure_error")
-        .when(F.lower(note).contains("premium"), "entitlement")
+        .when(F.lower(note).contains(NOT_ENTITLED), "entitlement")
         .when(note.isNotNull(), "av_throttle")
         .when(F.map_contains_key(parsed, "Error Message"), "structure_error")
     )
@@ -128,6 +165,25 @@ def drop_recovered(issues: DataFrame, rows: DataFrame) -> DataFrame:
     return issues.filter("issue_type <> 'structure_error'").unionByName(hard)
 
 
+#: Keys of the daily series of currencies and their fields; they have no volume.
+FOREX_KEY = "Time Series FX (Daily)"
+FOREX_FIELDS = {k: BAR_FIELDS[k] for k in ("Open", "High", "Low", "Close")}
+
+
+def forex(bodies: DataFrame) -> DataFrame:
+    """Daily rows of currency pairs as from ``series``, with ``from_currency`` and ``to_currency``; the dollar against itself is left out."""
+    rows = series(bodies.filter("symbol <> 'USDUSD'"), FOREX_KEY, FOREX_FIELDS, "date")
+    return rows.withColumns({"from_currency": F.substring("symbol", 1, 3), "to_currency": F.substring("symbol", 4, 3)})
+
+
+def index_series(bodies: DataFrame) -> DataFrame:
+    """Daily rows of ``{"data": [{"date", "open", "high", "low", "close"}]}`` bodies; sentinels and what is no number are null, rows without date are dropped."""
+    fields = ("open", "high", "low", "close")
+    rows = bodies.select("symbol", F.inline(F.from_json(F.get_json_object("body", "$.data"), "array<struct<" + ",".join(f"{c}:string" for c in ("date", *fields)) + ">>")))
+    numbers = [expr.number(expr.without_sentinels(c)).cast("float").alias(c.capitalize()) for c in fields]
+    return rows.select("symbol", F.col("date").try_cast("date").alias("Date"), *numbers).filter("Date IS NOT NULL")
+
+
 def points(bodies: DataFrame, value: str, unit: Column | None = None) -> DataFrame:
     """Date and value of ``{"data": [{"date", value}]}`` bodies; sentinels are null, other bad values drop the row."""
     parsed = F.from_json("body", f"struct<unit:string,data:array<struct<date:string,{value}:string>>>")
@@ -159,6 +215,18 @@ def reports(bodies: DataFrame, annual: str, quarterly: str, texts: Sequence[str]
     )
 
 
+def typed(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``reports``, ``estimates`` or ``insider_trades`` as stored: the numbers of the map as float columns, null where a row lacks them."""
+    return rows.select(*[c for c in rows.columns if c != "values"], *[F.element_at("values", c).alias(c) for c in columns])
+
+
+def news_issues(pages: DataFrame) -> DataFrame:
+    """One issue per article whose time is unreadable; ``news`` passes over them."""
+    a = pages.select(F.inline(F.from_json(F.get_json_object("body", "$.feed"), "array<struct<time_published:string,url:string>>")))
+    bad = a.filter(expr.news_stamp("time_published").isNull())
+    return bad.select(F.lit("GLOBAL").alias("symbol"), F.lit("cast_failure").alias("issue_type"), F.concat(F.lit("time_published "), F.coalesce("time_published", F.lit("missing"))).alias("detail"), "url")
+
+
 def news(pages: DataFrame) -> DataFrame:
     """One row per article and ticker of news pages, topics in their fixed columns (the last of a repeated topic wins).
 
@@ -201,6 +269,12 @@ def currency_pairs(codes: DataFrame) -> DataFrame:
     return codes.filter("`currency code` <> 'USD'").select(F.concat("currency code", F.lit("USD")).alias("symbol"), F.concat("currency name", F.lit(" to US Dollar")).alias("name"))
 
 
+def crypto_catalog(codes: DataFrame, market: str = "USD") -> DataFrame:
+    """Symbols of one market of a list of ``from_currency`` and ``to_currency``, with a name made of both."""
+    name = F.concat(F.lit("Cryptocurrency "), F.col("from_currency"), F.lit(" for Market "), F.col("to_currency"))
+    return codes.filter(F.col("to_currency") == market).select(F.col("from_currency").alias("symbol"), name.alias("name"))
+
+
 def index_catalog(bodies: DataFrame) -> DataFrame:
     """Symbols and names of an object keyed by symbol."""
     return bodies.select(F.explode(F.from_json("body", "map<string,string>")).alias("symbol", "name"))

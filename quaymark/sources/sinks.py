@@ -90,6 +90,38 @@ def write_by_day(df: DataFrame, path: str, day: str = "folder_date") -> None:
     df.repartition(day, F.pmod(F.xxhash64("symbol"), F.lit(16))).sortWithinPartitions("symbol").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
 
 
+def write_by_symbol(df: DataFrame, path: str, attempted: DataFrame, endpoint: str) -> DataFrame:
+    """Write the symbols that have no output yet, sorted by date within a symbol, and give the ledger of this run.
+
+    Symbols are partitions, those already there are left as they are. Symbols without rows are in the ledger, so that none is told from never asked.
+    """
+    spark = df.sparkSession
+    there = Pointer(spark, path).exists("_SUCCESS")
+    todo = attempted.select("symbol").distinct()
+    if there:
+        todo = not_yet_done(todo, spark.read.parquet(path).select("symbol").distinct())
+    rows = df.join(todo, "symbol", "left_semi")
+    date = next((c for c in ("Date", "time_published", "fiscalDateEnding") if c in df.columns), "symbol")
+    rows.repartition("symbol").sortWithinPartitions("symbol", date).write.mode("append").option("compression", "zstd").partitionBy("symbol").parquet(path)
+    return ledger(rows, endpoint, todo)
+
+
+def news_by_symbol(news: DataFrame, active: DataFrame) -> DataFrame:
+    """News of active symbols only, under their symbol."""
+    return news.withColumn("symbol", F.col("ticker")).join(active.select("symbol").distinct(), "symbol", "left_semi")
+
+
+def retire(spark: SparkSession, path: str, suffix: str = ".pre_weekly") -> bool:
+    """Move a table aside before it is written anew, over an older one moved aside; whether there was one."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    at, old = fs_path(path.rstrip("/")), fs_path(path.rstrip("/") + suffix)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return False
+    fs.delete(old, True)
+    return fs.rename(at, old)
+
+
 #: Key of a report's JSON that names the sections cut for display.
 CUT_SECTIONS = "cut_sections"
 
