@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quaymark import schemas
+from quaymark.operators import monitor
 from quaymark.sources import readers, sinks
 
 
@@ -26,7 +27,7 @@ def test_series_and_issues(spark):
 
 
 def test_body_classes(spark):
-    df = bodies(spark, ("a", {"Note": "slow down"}), ("b", {"Information": "a premium endpoint"}), ("c", {"Error Message": "no"}), ("d", {"data": "1"}), ("e", "<html>"))
+    df = bodies(spark, ("a", {"Note": "slow down"}), ("b", {"Information": "this plan is not yet entitled"}), ("c", {"Error Message": "no"}), ("d", {"data": "1"}), ("e", "<html>"))
     assert [r[0] for r in df.orderBy("symbol").select(readers.body_class(F.col("body"))).collect()] == ["av_throttle", "entitlement", "structure_error", None, "structure_error"]
 
 
@@ -143,3 +144,44 @@ def test_json_reports_say_which_sections_are_cut(spark):
     assert json.loads(sinks.report_text({"short": spark.range(50)})[0]).keys() == {"short"}
     with pytest.raises(ValueError):
         sinks.report_text({"cut_sections": spark.range(1)})
+
+
+def test_status_of_every_file(spark, tmp_path):
+    folder = tmp_path / "s"
+    spark.createDataFrame([("a", 1)], "symbol string, n int").coalesce(1).write.parquet(f"file://{folder}")
+    spark.createDataFrame([], "symbol string, n int").coalesce(1).write.mode("append").parquet(f"file://{folder}")
+    (folder / "broken.parquet").write_bytes(b"no parquet at all")
+    got = readers.file_status(spark, f"file://{folder}/*.parquet", spark.createDataFrame([], "symbol string, n int").schema).collect()
+    assert sorted(r.status for r in got) == ["empty", "ok", "unreadable"] and {r.file for r in got if r.status == "unreadable"} == {"broken.parquet"}
+
+
+def test_daily_csv_headers_and_lookup(spark, tmp_path):
+    (tmp_path / "BRK%2FB_day.csv").write_text("Date, Open,High,Low,Close,Volume\n2024-01-02,1,2,0.5,1.5,10\nx,1,2,0.5,bad,\n")
+    got = [tuple(r) for r in readers.daily_csv(spark, f"file://{tmp_path}/*.csv").orderBy(F.col("Date").desc()).collect()]
+    assert got == [("BRK/B", dt.date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 10.0), ("BRK/B", None, 1.0, 2.0, 0.5, None, None)]
+    with pytest.raises(ValueError, match="one: b; two: a, b"):
+        readers.check_headers({"one": spark.createDataFrame([(1,)], "a int"), "two": spark.createDataFrame([(1,)], "c int"), "three": spark.createDataFrame([(1, 2)], "a int, b int")}, ["a", "b"])
+    files = spark.createDataFrame([("A_day.csv",), ("BRK%2FB_day.csv",)], "file string")
+    assert {r.symbol: r.file for r in readers.located(spark.createDataFrame([("A",), ("BRK/B",), ("C",)], "symbol string"), files).collect()} == {"A": "A_day.csv", "BRK/B": "BRK%2FB_day.csv", "C": None}
+
+
+def test_entitlement_is_told_from_throttling(spark):
+    bodies = ['{"Information": "You are not yet entitled to this."}', '{"Note": "Consider a premium plan for more calls."}', '{"Error Message": "x"}', "no json", '{"a": {}}']
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, body string")
+    assert [r.k for r in df.orderBy("i").select(readers.body_class(df.body).alias("k")).collect()] == ["entitlement", "av_throttle", "structure_error", "structure_error", None]
+
+
+def test_output_by_symbol_is_resumed_and_moved_aside(spark, tmp_path):
+    at = f"file://{tmp_path}/out"
+    rows = spark.createDataFrame([("a", "2024-01-02", 1), ("a", "2024-01-01", 2), ("b", "2024-01-01", 3)], "symbol string, Date string, n int")
+    asked = spark.createDataFrame([("a",), ("b",), ("c",)], "symbol string")
+    first = sinks.write_by_symbol(rows.filter("symbol = 'a'"), at, asked.filter("symbol <> 'b'"), "prices")
+    assert {(r.symbol, r.n_rows) for r in first.collect()} == {("a", 2), ("c", 0)}
+    sinks.write_by_symbol(rows, at, asked, "prices")
+    assert sorted((r.symbol, r.n) for r in spark.read.parquet(at).collect()) == [("a", 1), ("a", 2), ("b", 3)]
+    assert sinks.retire(spark, at) and not sinks.retire(spark, at) and spark.read.parquet(at + ".pre_weekly").count() == 3
+    news = spark.createDataFrame([("a", 1), ("z", 2)], "ticker string, n int")
+    assert [r.symbol for r in sinks.news_by_symbol(news, asked).collect()] == ["a"]
+    (tmp_path / "x.txt").write_text("abc")
+    digests = monitor.file_digests(spark, f"file://{tmp_path}/*.txt")
+    assert [(r.file, r.bytes, r.md5) for r in digests.collect()] == [("x.txt", 3, "900150983cd24fb0d6963f7d28e17f72")]
