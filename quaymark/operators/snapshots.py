@@ -144,6 +144,7 @@ def history(df: DataFrame, attributes: Sequence[str], snapshot: str = "snapshot_
     spark = df.sparkSession
     keyed = df.select(F.col(f"`{snapshot}`").alias("snapshot_date"), "symbol", F.col(f"`{loaded}`").alias("loaded_at"), *[f"`{a}`" for a in attributes])
     days = calendar(df.select(F.col(f"`{snapshot}`").alias("snap"), canonical_symbol(F.col("symbol")).alias("sym")).filter("snap IS NOT NULL AND sym IS NOT NULL"))
+    days = written(days, "calendar")
     late = F.coalesce(F.to_date("loaded_at") >= F.col("next_snap"), F.lit(False))
     marked = keyed.join(F.broadcast(days.select(F.col("snap").alias("snapshot_date"), "next_snap")), "snapshot_date").withColumn("__late", late).drop("next_snap")
     store = HistoryStore(spark, scratch_path(spark, "history"), attributes)
@@ -184,6 +185,13 @@ class HistoryStore:
             df.select("*", self._bucket()).repartition(self.buckets, "bucket").write.partitionBy("bucket").option("compression", "zstd").parquet(f"{self.path}/{folder}")
         return folder
 
+    def _write_chains(self, chains: DataFrame) -> tuple[str, str]:
+        """Folders of the ended and of the open versions, from one write."""
+        folder, still = uuid.uuid4().hex, (F.col("valid_to") == F.lit(OPEN_END).cast("date")).cast("int").alias("still_open")
+        with cleaned(self.spark):
+            chains.select("*", still, self._bucket()).repartition(self.buckets, "bucket").write.partitionBy("still_open", "bucket").option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        return f"{folder}/still_open=0", f"{folder}/still_open=1"
+
     def _read(self, folders: Sequence[str], schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of folders, of certain buckets only if given; folders that have no file of a bucket are passed over."""
         paths = [f"{f}/bucket={b}" for f in folders for b in (range(self.buckets) if buckets is None else buckets)]
@@ -204,7 +212,7 @@ class HistoryStore:
 
     def _put(self, state: dict, chains: DataFrame, buckets: Sequence[int]) -> None:
         """Replace all chains of some buckets."""
-        folder_ended, folder_open = (self._write(chains.filter(test)) for test in (f"valid_to <> DATE'{OPEN_END}'", f"valid_to = DATE'{OPEN_END}'"))
+        folder_ended, folder_open = self._write_chains(chains)
         for b in buckets:
             state["ended"].pop(str(b), None)
             state["open"].pop(str(b), None)
@@ -260,7 +268,7 @@ class HistoryStore:
         every = list(range(self.buckets))
         if any(len(x) >= self.merge_after for x in state["ended"].values()):
             ends, state["ended"] = ends.unionByName(self._chains(state, "ended")), {}
-        folder_ended, folder_open = self._write(ends), self._write(stays.unionByName(begins))
+        folder_ended, folder_open = self._write_chains(ends.unionByName(stays).unionByName(begins))
         for b in self._named(folder_ended, every):
             state["ended"].setdefault(str(b), []).append(folder_ended)
         state["open"] = {str(b): folder_open for b in self._named(folder_open, every)}
